@@ -370,20 +370,23 @@ def q_udf_score(spark, sf_dir):
     return rows.select("doc_id", "error_code", *predict.RECORD)
 
 
-def q_evaluate(spark, sf_dir):
-    """The whole run with a trained model; returns the threshold table it wrote."""
+def _evaluate(spark: SparkSession, sf_dir: str, scorer) -> DataFrame:
+    """The whole run on the test split; returns the threshold table it wrote."""
     run = run_evaluation(
-        corpus(spark, sf_dir, "text"), _scorer(spark, sf_dir), scratch_path(spark, "evaluation")
+        corpus(spark, sf_dir, "text"),
+        scorer,
+        scratch_path(spark, "evaluation"),
+        texts=documents(spark, sf_dir),
     )
     return _read_sweep(spark, run.reports["threshold_metrics_test.csv"])
 
 
+def q_evaluate(spark, sf_dir):
+    return _evaluate(spark, sf_dir, _scorer(spark, sf_dir))
+
+
 def q_evaluate_test_split(spark, sf_dir):
-    """The whole run with the fixture score."""
-    run = run_evaluation(
-        corpus(spark, sf_dir, "text"), fixture_scorer, scratch_path(spark, "evaluation")
-    )
-    return _read_sweep(spark, run.reports["threshold_metrics_test.csv"])
+    return _evaluate(spark, sf_dir, fixture_scorer)
 
 
 # Streaming ----------------------------------------------------------------------

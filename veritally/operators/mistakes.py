@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veritally.functions.scores import DEFAULT_THRESHOLD
@@ -13,10 +13,19 @@ from veritally.sources.schema import require_columns
 
 def pick_extremes(wrong: DataFrame, n: int, key: str, prob: str) -> DataFrame:
     """``n`` false positives from the top of the scores, ``n`` false negatives from
-    the bottom; equal scores by key, undefined scores last."""
-    fp = wrong.where(F.col("error_type") == "FP").orderBy(F.desc(prob), key).limit(n)
-    fn = wrong.where(F.col("error_type") == "FN").orderBy(F.asc_nulls_last(prob), key).limit(n)
-    return fp.unionByName(fn)
+    the bottom; equal scores by key, undefined scores last.
+
+    Both come from one pass. Spark keeps only the best ``n`` of each kind per task
+    before it merges them, so neither kind can overload the task it goes to.
+    """
+    surest_first = Window.partitionBy("error_type").orderBy(_doubt(prob).asc_nulls_last(), key)
+    ranked = wrong.withColumn("_rank", F.row_number().over(surest_first))
+    return ranked.where(F.col("_rank") <= n).drop("_rank")
+
+
+def _doubt(prob: str) -> Column:
+    """Small for confident mistakes of either kind."""
+    return F.when(F.col("error_type") == "FP", -F.col(prob)).otherwise(F.col(prob))
 
 
 def top_mistakes(
@@ -33,8 +42,7 @@ def top_mistakes(
 
     ``n_top`` of each, equal scores by key. They are found on (key, label,
     score); only then are their texts read, from ``texts`` or from ``scored``
-    itself. Each side is a top-n that Spark takes per task before merging, so no
-    sort over the corpus and no text in any shuffle.
+    itself, so no shuffle carries texts.
     """
     texts = scored if texts is None else texts
     require_columns(scored, [key, label, prob])
@@ -44,7 +52,6 @@ def top_mistakes(
     )
     picked = pick_extremes(wrong, n_top, key, prob)
     found = fetch_by_key(picked, texts.select(key, text), key, max_rows=2 * n_top)
-    falling = F.when(F.col("error_type") == "FP", -F.col(prob)).otherwise(F.col(prob))
     return found.select(
         key,
         text,
@@ -52,4 +59,4 @@ def top_mistakes(
         "predicted_label",
         prob,
         "error_type",
-    ).orderBy(F.desc("error_type"), falling.asc_nulls_last(), key)
+    ).orderBy(F.desc("error_type"), _doubt(prob).asc_nulls_last(), key)

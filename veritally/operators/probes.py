@@ -37,27 +37,37 @@ def probe_results(
 def probe_summary(results: DataFrame, category: str = "category") -> DataFrame:
     """One row for all probes (scope ``overall``) and one per category.
 
-    Rows are counted per category once and both scopes are taken from those
-    counts, so the probes are neither read nor expanded twice. Probes without a
-    verdict stay out; those without a category count in the overall row alone. Precision and recall without a
-    denominator are null; F1 is null also when either is 0. The overall row
-    exists for an empty probe set too, with ``n`` 0.
+    Probes are counted per category, and both scopes are grouping sets over those
+    counts, so each probe is read once and never expanded. Probes without a
+    verdict stay out; those without a category count in the overall row alone.
+    Precision and recall without a denominator are null; F1 is null also when
+    either is 0. The overall row exists for an empty probe set too, with ``n`` 0.
     """
     require_columns(results, ["expected_label", "predicted_label", category])
     y, z = F.col("expected_label"), F.col("predicted_label")
     parts = ("n", "n_correct", "tp", "fp", "fn")
-    counts = results.where(z.isNotNull()).groupBy(F.col(category).alias("category")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(y == z).alias("n_correct"),
-        F.count_if((y == 1) & (z == 1)).alias("tp"),
-        F.count_if((y == 0) & (z == 1)).alias("fp"),
-        F.count_if((y == 1) & (z == 0)).alias("fn"),
+    counts = (
+        results.where(z.isNotNull())
+        .groupBy(F.col(category).cast("string").alias("category"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(y == z).alias("n_correct"),
+            F.count_if((y == 1) & (z == 1)).alias("tp"),
+            F.count_if((y == 0) & (z == 1)).alias("fp"),
+            F.count_if((y == 1) & (z == 0)).alias("fn"),
+        )
     )
-    overall = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in parts]).select(
-        F.lit("overall").alias("scope"), F.lit(None).cast("string").alias("category"), *parts
+    # Grouping sets over no rows give no overall row, so there is always one.
+    nothing = results.sparkSession.range(1).select(
+        F.lit(None).cast("string").alias("category"),
+        *[F.lit(0).cast("bigint").alias(c) for c in parts],
     )
-    per_category = counts.where(F.col("category").isNotNull()).select(
-        F.lit("category").alias("scope"), F.col("category").cast("string"), *parts
+    totals = (
+        counts.unionByName(nothing)
+        .groupingSets([[], ["category"]], "category")
+        .agg(F.grouping_id().alias("level"), *[F.sum(c).alias(c) for c in parts])
+        .where((F.col("level") == 1) | F.col("category").isNotNull())
+        .withColumn("scope", F.when(F.col("level") == 1, "overall").otherwise("category"))
     )
     n, ok, tp, fp, fn = (F.col(c) for c in parts)
     precision, recall = ratio_or_null(tp, tp + fp), ratio_or_null(tp, tp + fn)
@@ -65,8 +75,7 @@ def probe_summary(results: DataFrame, category: str = "category") -> DataFrame:
     f1 = F.when((p > 0) & (r > 0), 2 * p * r / (p + r))
     accuracy = F.col("accuracy")
     return (
-        overall.unionByName(per_category)
-        .withColumn("_p", precision)
+        totals.withColumn("_p", precision)
         .withColumn("_r", recall)
         .select(
             "scope",

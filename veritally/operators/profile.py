@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from veritally.functions.ratios import ratio_or_null, ratio_or_zero
@@ -135,37 +135,34 @@ def histogram(
         label = "_all"
         df = df.withColumn(label, F.lit(0))
     require_columns(df, [label, *measures])
-    counts = _value_counts(df, label, measures).where(F.col("value").isNotNull())
     group = ["labels", "measure"]
-    low, high = F.min("value").cast("double"), F.max("value").cast("double")
-    single = F.col("low") == F.col("high")
-    ranges = (
-        counts.groupBy(*group)
-        .agg(low.alias("low"), high.alias("high"))
-        .withColumn("half", F.when(single, 0.5).otherwise(0.0))
-        .select(
-            *group,
-            (F.col("low") - F.col("half")).alias("low"),
-            (F.col("high") + F.col("half")).alias("high"),
-        )
-    )
-    slot = F.width_bucket("value", "low", "high", F.lit(bins))
-    # One row per label and measure.
+    # As many rows as there are different lengths, so a group is no larger than
+    # its longest text allows.
+    whole_group = Window.partitionBy(*group)
+    low = F.min("value").over(whole_group).cast("double")
+    high = F.max("value").over(whole_group).cast("double")
+    half = F.when(F.col("low") == F.col("high"), 0.5).otherwise(0.0)
+    slot = F.least(F.width_bucket("value", "low", "high", F.lit(bins)), F.lit(bins))
     filled = (
-        counts.join(F.broadcast(ranges), group)
-        .groupBy(*group, F.least(slot, F.lit(bins)).alias("bin"))
+        _value_counts(df, label, measures)
+        .where(F.col("value").isNotNull())
+        .withColumns({"low": low, "high": high})
+        .withColumns({"low": F.col("low") - half, "high": F.col("high") + half})
+        .groupBy(*group, "low", "high", slot.alias("bin"))
         .agg(F.sum("n").alias("n"))
     )
-    width = (F.col("high") - F.col("low")) / bins
-    frame = ranges.select(
-        *group, "low", width.alias("width"), F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin")
-    ).withColumn("bin", F.col("bin").cast("bigint"))
-    out = frame.join(filled, [*group, "bin"], "left").select(
+    # One row per group, holding its filled bins.
+    per_group = filled.groupBy(*group, "low", "high").agg(
+        F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("n_of_bin")
+    )
+    bin_, width = F.col("bin"), (F.col("high") - F.col("low")) / bins
+    all_bins = F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(bins).cast("bigint")))
+    out = per_group.withColumn("bin", all_bins).select(
         *group,
         "bin",
-        F.round(F.col("low") + (F.col("bin") - 1) * F.col("width"), 6).alias("bin_start"),
-        F.round(F.col("low") + F.col("bin") * F.col("width"), 6).alias("bin_end"),
-        F.coalesce("n", F.lit(0)).alias("n"),
+        F.round(F.col("low") + (bin_ - 1) * width, 6).alias("bin_start"),
+        F.round(F.col("low") + bin_ * width, 6).alias("bin_end"),
+        F.coalesce(F.try_element_at("n_of_bin", bin_), F.lit(0)).alias("n"),
     )
     return out.drop("labels") if label == "_all" else out
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Collection
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -80,11 +79,11 @@ def subsample(
     """Keep exactly ``max_train`` train rows and ``max_eval`` of each other split.
 
     The rows kept are those with the smallest digests. A limit over a global
-    sort would push every kept row through one task, so instead a narrow pass
-    counts digests per bucket, the bucket where each split reaches its limit is
-    found among at most 65,536 counts per split, and rows below it pass a plain
-    filter. Only that one bucket, about 1/65,536 of a split, is ranked. ``key``
-    must identify a row.
+    sort would push every kept row through one task, so the last digest to keep
+    is found first, on keys alone: digests are counted per bucket, the bucket
+    where a split reaches its limit is found among at most 65,536 counts, and
+    only that bucket, about 1/65,536 of a split, is ranked. The rows themselves
+    then pass a plain filter, without any shuffle. ``key`` must identify a row.
     """
     require_columns(df, [key, "split"])
     if max_train is None and max_eval is None:
@@ -93,33 +92,35 @@ def subsample(
         raise ValueError("subsample limits cannot be negative")
 
     limit = F.when(F.col("split") == TRAIN, F.lit(max_train)).otherwise(F.lit(max_eval))
-    order_key = digest(F.col(key), seed)
-    bucket = F.substring(order_key, 1, _BUCKET_DIGITS)
+    # A split limited to nothing has no digest to cut at.
+    kept = df.where(limit.isNull() | (limit > 0))
+    place = F.struct(digest(F.col(key), seed).alias("digest"), F.col(key).alias("key"))
 
-    counts = df.groupBy("split", bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
-    running = F.sum("n").over(Window.partitionBy("split").orderBy("bucket"))
+    places = kept.where(limit.isNotNull()).select("split", place.alias("place"))
+    bucket = F.substring("place.digest", 1, _BUCKET_DIGITS)
+    counts = places.groupBy("split", bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("split").orderBy("bucket"))
+    before = F.col("upto") - F.col("n")
     cuts = (
-        counts.withColumn("limit", limit.cast("bigint"))
-        .withColumn("upto", running)
-        .where((F.col("upto") >= F.col("limit")) & (F.col("upto") - F.col("n") < F.col("limit")))
-        .select(
-            "split",
-            F.col("bucket").alias("_cut"),
-            (F.col("limit") - (F.col("upto") - F.col("n"))).alias("_room"),
-        )
+        counts.withColumn("upto", upto)
+        .withColumn("limit", limit.cast("bigint"))
+        .where((F.col("upto") >= F.col("limit")) & (before < F.col("limit")))
+        .select("split", "bucket", (F.col("limit") - before).alias("room"))
     )
-    # A split limited to nothing has no bucket to cut at.
-    kept = df.where(limit.isNull() | (limit > 0))
-
-    # One row per split at most, so the broadcast cannot grow with the corpus.
-    marked = kept.join(F.broadcast(cuts), "split", "left")
-    below = marked.where(F.col("_cut").isNull() | (bucket < F.col("_cut")))
-    ranked = marked.where(bucket == F.col("_cut")).withColumn(
-        "_rank",
-        F.row_number().over(Window.partitionBy("split").orderBy(order_key, key)),
+    # One row per split at most, here and below, so neither broadcast can grow.
+    rank = F.row_number().over(Window.partitionBy("split").orderBy("place"))
+    last = (
+        places.withColumn("bucket", bucket)
+        .join(F.broadcast(cuts), ["split", "bucket"])
+        .withColumn("rank", rank)
+        .where(F.col("rank") == F.col("room"))
+        .select("split", F.col("place").alias("_last"))
+    )
+    return (
+        kept.join(F.broadcast(last), "split", "left")
+        .where(F.col("_last").isNull() | (place <= F.col("_last")))
+        .select(*df.columns)
     )
-    edge = ranked.where(F.col("_rank") <= F.col("_room")).drop("_rank")
-    return reduce(DataFrame.unionByName, [below, edge]).drop("_cut", "_room").select(*df.columns)
 
 
 def sample_per_label(

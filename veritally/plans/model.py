@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -14,14 +15,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veritally.functions.ratios import ratio_or_zero
 from veritally.functions.scores import argmax_label
 from veritally.functions.text import TOKEN
 from veritally.operators.confusion import confusion_counts, f1_or_zero
-from veritally.functions.ratios import ratio_or_zero
 from veritally.operators.splits import TRAIN, VALIDATION
 from veritally.sources.schema import require_columns
 
-DEFAULT_FEATURES = 1 << 16
+DEFAULT_FEATURES = 1 << 14
 DEFAULT_REG_PARAMS = (0.001, 0.01, 0.1)
 
 
@@ -75,13 +76,16 @@ def train_classifier(
     text: str = "text",
     reg_params: Sequence[float] = DEFAULT_REG_PARAMS,
     n_features: int = DEFAULT_FEATURES,
-    max_iter: int = 50,
+    max_iter: int = 20,
+    parallelism: int = 3,
 ) -> Training:
     """Fit on the train split, keep the candidate with the best validation F1.
 
     Candidates differ in regularisation; the first of equals wins. Rows are not
     weighted by class. Token vectors are made once and kept for all candidates,
     on disk where memory is short; a lost block is computed anew from its rows.
+    ``parallelism`` candidates are fitted at a time, each over its own copy of the
+    train vectors; lower it where those are large.
     """
     require_columns(prepared, [text, "labels", "split"])
     if not reg_params:
@@ -99,7 +103,11 @@ def train_classifier(
         learner = LogisticRegression(
             labelCol="labels", featuresCol="features", family="binomial", maxIter=max_iter
         )
-        models = learner.fit(train, [{learner.regParam: r} for r in reg_params])
+        grid = [{learner.regParam: r} for r in reg_params]
+        with ThreadPool(min(parallelism, len(grid))) as pool:
+            fitted = learner.fitMultiple(train, grid)
+            fit_next = inheritable_thread_target(vectors.sparkSession)(lambda _: next(fitted))
+            models = [m for _, m in sorted(pool.map(fit_next, grid), key=lambda pair: pair[0])]
         scores = _validation_f1(models, vectors.where(F.col("split") == VALIDATION))
     finally:
         vectors.unpersist()
