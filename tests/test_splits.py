@@ -1,0 +1,127 @@
+from __future__ import annotations
+
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from veritally.operators import splits as S
+
+
+def corpus(spark, n=3000):
+    return spark.range(n).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
+
+
+def members(df):
+    out = {}
+    for r in df.collect():
+        out.setdefault(r["split"], []).append(r["doc_id"])
+    return {k: sorted(v) for k, v in out.items()}
+
+
+def digest(i, seed):
+    return hashlib.md5(f"{i}:{seed}".encode()).hexdigest()
+
+
+def test_three_way_split_is_disjoint_complete_and_near_the_ratios(spark):
+    got = members(S.assign_splits(corpus(spark)))
+    assert sorted(sum(got.values(), [])) == list(range(3000))
+    assert abs(len(got["validation"]) - 300) < 60 and abs(len(got["test"]) - 300) < 60
+    for i in got["test"]:
+        assert int(digest(i, 42)[:8], 16) / 2**32 < 0.1
+
+
+def test_split_does_not_depend_on_partitions_or_growth(spark):
+    small = members(S.assign_splits(corpus(spark, 500).repartition(7)))
+    large = members(S.assign_splits(corpus(spark, 3000)))
+    for name, ids in small.items():
+        assert ids == [i for i in large[name] if i < 500]
+
+
+def test_seed_changes_the_split(spark):
+    assert members(S.assign_splits(corpus(spark), seed=1)) != members(S.assign_splits(corpus(spark)))
+
+
+def test_existing_test_split_is_kept_and_validation_carved_from_train(spark):
+    came = corpus(spark).withColumn("split", F.when(F.col("doc_id") < 1000, "test").otherwise("train"))
+    got = members(S.assign_splits(came, present=("train", "test")))
+    assert got["test"] == list(range(1000))
+    # The ratio counts train rows and is not rescaled.
+    assert abs(len(got["validation"]) - 200) < 45
+    assert min(got["validation"]) >= 1000
+
+
+def test_complete_splits_stay(spark):
+    came = corpus(spark, 30).withColumn("split", F.lit("validation"))
+    got = S.assign_splits(came, present=("train", "validation", "test"))
+    assert members(got) == {"validation": list(range(30))}
+
+
+def test_impossible_splits_are_refused(spark):
+    df = corpus(spark, 3)
+    with pytest.raises(ValueError, match="must also have a test split"):
+        S.assign_splits(df, present=("train", "validation"))
+    with pytest.raises(ValueError, match="cannot use splits"):
+        S.assign_splits(df, present=("test",))
+    for val, test in ((0.5, 0.5), (0.9, 0.2), (-0.1, 0.1)):
+        with pytest.raises(ValueError, match="ratios"):
+            S.assign_splits(df, val_ratio=val, test_ratio=test)
+
+
+def split_frame(spark, n=3000):
+    return S.assign_splits(corpus(spark, n))
+
+
+@pytest.mark.parametrize("max_train, max_eval", [(100, 50), (1, 0), (None, 7), (2000, None), (0, 0)])
+def test_subsample_is_exact_and_takes_the_smallest_digests(spark, max_train, max_eval):
+    df = split_frame(spark)
+    whole, got = members(df), members(S.subsample(df, max_train, max_eval))
+    for name, ids in whole.items():
+        limit = max_train if name == "train" else max_eval
+        expected = sorted(ids, key=lambda i: (digest(i, 42), i))[:limit]
+        assert got.get(name, []) == sorted(expected)
+
+
+def test_subsample_larger_than_the_split_keeps_all(spark):
+    df = split_frame(spark, 200)
+    assert members(S.subsample(df, 10_000, 10_000)) == members(df)
+
+
+def test_subsample_without_limits_is_the_input(spark):
+    df = split_frame(spark, 10)
+    assert S.subsample(df, None, None) is df
+    with pytest.raises(ValueError, match="negative"):
+        S.subsample(df, -1, None)
+
+
+def test_subsample_within_one_bucket(spark, monkeypatch):
+    # Zero digits: a single bucket, so the ranking inside it does all the work.
+    monkeypatch.setattr(S, "_BUCKET_DIGITS", 0)
+    df = split_frame(spark, 400)
+    got = members(S.subsample(df, 20, 5))
+    assert {k: len(v) for k, v in got.items()} == {"train": 20, "validation": 5, "test": 5}
+    expected = sorted(members(df)["train"], key=lambda i: digest(i, 42))[:20]
+    assert got["train"] == sorted(expected)
+
+
+def test_subsample_columns_and_columns_order(spark):
+    df = split_frame(spark, 100)
+    assert S.subsample(df, 10, 10).columns == df.columns
+
+
+def test_split_sizes(spark):
+    df = split_frame(spark, 500)
+    assert {r["split"]: r["n"] for r in S.split_sizes(df).collect()} == {
+        k: len(v) for k, v in members(df).items()
+    }
+
+
+def test_sample_per_label_survives_a_dominant_label(spark):
+    df = corpus(spark).withColumn("labels", (F.col("doc_id") >= 2990).cast("int"))
+    got = S.sample_per_label(df, n=5).collect()
+    for label, ids in ((0, range(2990)), (1, range(2990, 3000))):
+        expected = sorted(ids, key=lambda i: (digest(i, 0), i))[:5]
+        assert sorted(r.doc_id for r in got if r.labels == label) == sorted(expected)
+    assert all(r.text == "t" for r in got)
+    rare = df.where("doc_id > 2987").withColumn("labels", F.lit(1))
+    assert S.sample_per_label(rare, n=50).count() == 12
