@@ -25,6 +25,7 @@ from veritally.plans.prepare import prepare_rows, split_corpus
 from veritally.plans.scoring import PythonScorer, score_texts
 from veritally.session import scratch_path
 from veritally.sinks.reports import slices_document, write_csv, write_json
+from veritally.sources import csv
 from veritally.sources.corpus import load_labelled
 from veritally.sources.probes import load_probes
 from veritally.streaming.scoring import read_requests, score_stream, start_scoring
@@ -426,11 +427,10 @@ _METRICS_SCHEMA = (
     "accuracy double, precision double, recall double, f1 double, roc_auc double, "
     "confusion_matrix struct<tp bigint, fp bigint, tn bigint, fn bigint>, threshold_used double"
 )
-_CSV = {"header": "true", "multiLine": "true", "escape": '"'}
 
 
 def _read_sweep(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(_SWEEP_SCHEMA).options(**_CSV).csv(path)
+    return spark.read.schema(_SWEEP_SCHEMA).options(**csv.READ).csv(path)
 
 
 def q_sink_eval_metrics(spark, sf_dir):
@@ -467,7 +467,7 @@ def q_sink_misclassified_csv(spark, sf_dir):
     path = scratch_path(spark, "misclassified")
     rows = q_misclassified_topk(spark, sf_dir)
     write_csv(rows, path)
-    return spark.read.schema(rows.schema).options(**_CSV).csv(path)
+    return spark.read.schema(rows.schema).options(**csv.READ).csv(path)
 
 
 def q_sink_error_slices(spark, sf_dir):
@@ -491,7 +491,7 @@ def q_sink_probe_results(spark, sf_dir):
     path = scratch_path(spark, "probe_results")
     rows = scored_probes(spark, sf_dir, "text")
     write_csv(rows, path)
-    return spark.read.schema(rows.schema).options(**_CSV).csv(path)
+    return spark.read.schema(rows.schema).options(**csv.READ).csv(path)
 
 
 def q_sink_probe_summary(spark, sf_dir):

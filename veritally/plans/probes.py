@@ -8,6 +8,7 @@ from veritally.functions.scores import DEFAULT_THRESHOLD
 from veritally.operators.probes import probe_results, probe_summary
 from veritally.plans.scoring import Scorer, score_texts
 from veritally.sinks.reports import write_csv, write_json
+from veritally.sources import csv
 from veritally.sources.probes import load_probes
 
 
@@ -37,8 +38,6 @@ def run_probes(
     results = score_probes(load_probes(spark, probe_path), scorer, threshold)
     write_csv(results, results_path)
     # Read back rather than scored again.
-    stored = spark.read.schema(results.schema).options(
-        header=True, multiLine=True, escape='"'
-    ).csv(results_path)
+    stored = spark.read.schema(results.schema).options(**csv.READ).csv(results_path)
     write_json(probe_summary(stored), summary_path)
     return results_path, summary_path

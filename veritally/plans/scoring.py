@@ -40,7 +40,10 @@ class PythonScorer:
             for batch in batches:
                 yield model(batch)
 
-        return df.withColumn("toxic_prob", score(F.col(self.text)))
+        # Called nondeterministic so that a filter on the score does not run the
+        # model a second time below the projection. Filter other columns first.
+        once = score.asNondeterministic()
+        return df.withColumn("toxic_prob", once(F.col(self.text)))
 
 
 def score_texts(

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veritally.operators.slices import SLICES
+from veritally.sources import csv
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -17,8 +18,8 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header, quotes doubled. An empty table still gets its header."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """CSV with a header. An empty table still gets its header."""
+    df.write.mode("overwrite").options(**csv.WRITE).csv(path)
 
 
 def slices_document(slices: DataFrame) -> DataFrame:

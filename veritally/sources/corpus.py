@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from veritally.sources import csv
 from veritally.sources.schema import require_columns
 
 
@@ -28,7 +29,7 @@ def read_table(
             raise ValueError(f"give a schema to read {fmt}")
         reader = reader.schema(schema)
     if fmt == "csv":
-        reader = reader.option("header", True).option("multiLine", True).option("escape", '"')
+        reader = reader.options(**csv.READ)
     return reader.load(path)
 
 

@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from veritally.sources import csv
 from veritally.sources.schema import require_columns
 
 PROBE_COLUMNS = {
@@ -15,9 +16,6 @@ PROBE_COLUMNS = {
     "notes": StringType(),
 }
 
-# Quotes are doubled inside quoted fields, and a field may span lines.
-CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"'}
-
 
 def load_probes(spark: SparkSession, path: str) -> DataFrame:
     """Read a probe CSV (a file, or a folder of files with the same header).
@@ -28,7 +26,7 @@ def load_probes(spark: SparkSession, path: str) -> DataFrame:
     A label that is no integer fails the read.
     """
     try:
-        header = spark.read.options(**CSV_OPTIONS).csv(path)
+        header = spark.read.options(**csv.READ).csv(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"no probe file at {path}") from error
@@ -37,4 +35,4 @@ def load_probes(spark: SparkSession, path: str) -> DataFrame:
     schema = StructType(
         [StructField(c, PROBE_COLUMNS.get(c, StringType())) for c in header.columns]
     )
-    return spark.read.schema(schema).options(**CSV_OPTIONS, mode="FAILFAST").csv(path)
+    return spark.read.schema(schema).options(**csv.READ, mode="FAILFAST").csv(path)
