@@ -8,7 +8,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.errors import AnalysisException
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
@@ -39,12 +39,12 @@ class Training:
         return spark.createDataFrame(rows, "reg_param double, val_f1 double, selected boolean")
 
 
-def _features(text: str, n_features: int) -> Pipeline:
-    return Pipeline(
+def _term_counts(text: str, n_features: int) -> PipelineModel:
+    """Tokens and their hashed counts; nothing in it depends on the data."""
+    return PipelineModel(
         stages=[
             RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=TOKEN, gaps=False),
             HashingTF(inputCol="_tokens", outputCol="_counts", numFeatures=n_features),
-            IDF(inputCol="_counts", outputCol="features"),
         ]
     )
 
@@ -82,8 +82,8 @@ def train_classifier(
     """Fit on the train split, keep the candidate with the best validation F1.
 
     Candidates differ in regularisation; the first of equals wins. Rows are not
-    weighted by class. Token vectors are made once and kept for all candidates,
-    on disk where memory is short; a lost block is computed anew from its rows.
+    weighted by class. Texts are read and tokenised once: their term counts are
+    kept, on disk where memory is short, and a lost block is computed anew.
     ``parallelism`` candidates are fitted at a time, each over its own copy of the
     train vectors; lower it where those are large.
     """
@@ -91,28 +91,29 @@ def train_classifier(
     if not reg_params:
         raise ValueError("no candidate given")
     rows = prepared.select(text, "labels", "split").where(F.col("split").isin(TRAIN, VALIDATION))
-    train_rows = rows.where(F.col("split") == TRAIN)
-    features = _features(text, n_features).fit(train_rows)
-    vectors = (
-        features.transform(rows)
-        .select("split", "labels", "features")
+    counter = _term_counts(text, n_features)
+    counts = (
+        counter.transform(rows)
+        .select("split", "labels", "_counts")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
+    in_train = F.col("split") == TRAIN
+    learner = LogisticRegression(
+        labelCol="labels", featuresCol="features", family="binomial", maxIter=max_iter
+    )
+    grid = [{learner.regParam: r} for r in reg_params]
     try:
-        train = vectors.where(F.col("split") == TRAIN)
-        learner = LogisticRegression(
-            labelCol="labels", featuresCol="features", family="binomial", maxIter=max_iter
-        )
-        grid = [{learner.regParam: r} for r in reg_params]
+        weights = IDF(inputCol="_counts", outputCol="features").fit(counts.where(in_train))
+        vectors = weights.transform(counts).drop("_counts")
         with ThreadPool(min(parallelism, len(grid))) as pool:
-            fitted = learner.fitMultiple(train, grid)
-            fit_next = inheritable_thread_target(vectors.sparkSession)(lambda _: next(fitted))
+            fitted = learner.fitMultiple(vectors.where(in_train), grid)
+            fit_next = inheritable_thread_target(counts.sparkSession)(lambda _: next(fitted))
             models = [m for _, m in sorted(pool.map(fit_next, grid), key=lambda pair: pair[0])]
-        scores = _validation_f1(models, vectors.where(F.col("split") == VALIDATION))
+        scores = _validation_f1(models, vectors.where(~in_train))
     finally:
-        vectors.unpersist()
+        counts.unpersist()
     best = max(range(len(scores)), key=lambda i: (scores[i], -i))
-    model = PipelineModel(stages=[*features.stages, models[best]])
+    model = PipelineModel(stages=[*counter.stages, weights, models[best]])
     return Training(model, list(zip(map(float, reg_params), scores)), float(reg_params[best]))
 
 
