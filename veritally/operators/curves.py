@@ -115,38 +115,39 @@ def running_counts(
     everything = Window.partitionBy()
     in_order = Window.orderBy("range_id")
     before = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    own = F.struct("pos", "neg")
     # One row per range, so bounded by the number of shuffle partitions.
     offsets = (
         ranged.groupBy("range_id")
         .agg(
             F.sum("pos").alias("range_pos"),
             F.sum("neg").alias("range_neg"),
-            F.max_by(own, "score").alias("first"),
+            F.max_by("pos", "score").alias("first_pos"),
+            F.max_by("neg", "score").alias("first_neg"),
         )
         .select(
             "range_id",
             F.coalesce(F.sum("range_pos").over(before), F.lit(0)).alias("tp_before"),
             F.coalesce(F.sum("range_neg").over(before), F.lit(0)).alias("fp_before"),
-            F.lead("first").over(in_order).alias("first_of_next"),
+            F.lead("first_pos").over(in_order).alias("next_range_pos"),
+            F.lead("first_neg").over(in_order).alias("next_range_neg"),
             F.sum("range_pos").over(everything).alias("n_pos"),
             F.sum("range_neg").over(everything).alias("n_neg"),
         )
     )
     falling = Window.partitionBy("range_id").orderBy(F.desc("score"))
     upto = falling.rowsBetween(Window.unboundedPreceding, 0)
-    following = F.coalesce(F.col("following"), F.col("first_of_next"))
     return (
         ranged.withColumn("tp", F.sum("pos").over(upto))
         .withColumn("fp", F.sum("neg").over(upto))
-        .withColumn("following", F.lead(own).over(falling))
+        .withColumn("next_pos", F.lead("pos").over(falling))
+        .withColumn("next_neg", F.lead("neg").over(falling))
         .join(F.broadcast(offsets), "range_id")
         .select(
             "score",
             "pos",
             "neg",
-            following["pos"].alias("next_pos"),
-            following["neg"].alias("next_neg"),
+            F.coalesce("next_pos", "next_range_pos").alias("next_pos"),
+            F.coalesce("next_neg", "next_range_neg").alias("next_neg"),
             (F.col("tp") + F.col("tp_before")).alias("tp"),
             (F.col("fp") + F.col("fp_before")).alias("fp"),
             "n_pos",
