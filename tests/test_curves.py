@@ -114,3 +114,10 @@ def test_undefined_scores_stay_off_the_curves(scored):
     running = C.running_counts(scored([(1, 0.9), (0, math.nan), (1, None), (0, 0.1)]))
     assert sorted(r.score for r in running.collect()) == [0.1, 0.9]
     assert {(r.n_pos, r.n_neg) for r in running.collect()} == {(1, 1)}
+
+
+def test_curves_of_nothing(scored):
+    running = C.running_counts(scored([]))
+    assert running.count() == 0
+    assert rows(C.average_precision(running)) == [{"average_precision": None}]
+    assert rows(C.pr_curve(running)) == [{"threshold": None, "precision": 1.0, "recall": 0.0}]

@@ -457,7 +457,7 @@ def q_sink_threshold_csv(spark, sf_dir):
 
 def q_sink_threshold_summary(spark, sf_dir):
     path = scratch_path(spark, "threshold_summary")
-    rows = confusion.operating_point_row(scored(spark, sf_dir))
+    rows = confusion.operating_point_row(confusion.sweep_by_position(scored(spark, sf_dir)))
     write_json(rows, path)
     stored = spark.read.schema(rows.schema).json(path)
     return confusion.point_rows(stored)

@@ -103,8 +103,9 @@ def char_length(text: Column) -> Column:
 
 def word_length(text: Column) -> Column:
     """Whitespace-separated words, with null and blank as zero."""
-    plain = _plain_spaces(F.coalesce(text, F.lit("")))
-    return F.regexp_count(plain, F.lit("[^ ]++")).cast("bigint")
+    words = collapse_whitespace(F.coalesce(text, F.lit("")))
+    gaps = F.length(words) - F.length(F.replace(words, F.lit(" "), F.lit("")))
+    return (gaps + (words != "").cast("int")).cast("bigint")
 
 
 def has_exclamation_or_question(text: Column) -> Column:

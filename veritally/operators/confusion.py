@@ -71,7 +71,12 @@ def _threshold_metrics(counts: DataFrame) -> DataFrame:
     )
 
 
-def _sweep(scored: DataFrame, grid: Sequence[float], label: str, prob: str) -> DataFrame:
+def sweep_by_position(
+    scored: DataFrame,
+    grid: Sequence[float] = DEFAULT_GRID,
+    label: str = "labels",
+    prob: str = "toxic_prob",
+) -> DataFrame:
     """Metrics per grid value, with ``grid_pos`` for its place in the grid.
 
     All thresholds are counted in one scan. Each task sends a single row of
@@ -111,7 +116,7 @@ def threshold_sweep(
     prob: str = "toxic_prob",
 ) -> DataFrame:
     """One row of metrics per threshold."""
-    return _sweep(scored, grid, label, prob).select(*METRIC_COLUMNS)
+    return sweep_by_position(scored, grid, label, prob).select(*METRIC_COLUMNS)
 
 
 def metrics_at_threshold(
@@ -127,20 +132,16 @@ POINT_NAMES = ("best_f1", "high_recall_threshold", "high_precision_threshold")
 
 
 def operating_point_row(
-    scored: DataFrame,
-    grid: Sequence[float] = DEFAULT_GRID,
-    label: str = "labels",
-    prob: str = "toxic_prob",
+    sweep: DataFrame,
     recall_floor: float = RECALL_FLOOR,
     precision_floor: float = PRECISION_FLOOR,
 ) -> DataFrame:
     """One row with three structs: best F1, first threshold with enough recall,
-    last with enough precision.
+    last with enough precision. Takes the rows of :func:`sweep_by_position`.
 
     The floors apply to the rounded metrics. Where no threshold reaches one, its
     struct is null. Ties in F1 go to the earlier grid position.
     """
-    sweep = _sweep(scored, grid, label, prob)
     row, pos = F.struct(*METRIC_COLUMNS), F.col("grid_pos")
     enough_recall = F.when(F.col("recall") >= recall_floor, pos)
     enough_precision = F.when(F.col("precision") >= precision_floor, pos)
@@ -160,9 +161,17 @@ def point_rows(row: DataFrame) -> DataFrame:
     return row.select(F.inline(pairs)).select("operating_point", "point.*")
 
 
-def operating_points(scored: DataFrame, **options) -> DataFrame:
-    """The operating points as rows, with the options of :func:`operating_point_row`."""
-    return point_rows(operating_point_row(scored, **options))
+def operating_points(
+    scored: DataFrame,
+    grid: Sequence[float] = DEFAULT_GRID,
+    label: str = "labels",
+    prob: str = "toxic_prob",
+    recall_floor: float = RECALL_FLOOR,
+    precision_floor: float = PRECISION_FLOOR,
+) -> DataFrame:
+    """The operating points of scored rows, one row each."""
+    sweep = sweep_by_position(scored, grid, label, prob)
+    return point_rows(operating_point_row(sweep, recall_floor, precision_floor))
 
 
 def _summary(df: DataFrame, label: str, prob: Column, argmax: Column, threshold: float):

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from veritally.functions.ratios import ratio_or_null
 from veritally.functions.scores import is_defined
-from veritally.session import shared_folder
+from veritally.session import store_table
 from veritally.sources.schema import require_columns
 
 # Products of counts pass 2^63 at a few billion rows.
@@ -102,16 +102,12 @@ def running_counts(
     have no place on a curve and stay out.
 
     The ranges are used twice, for their totals and for the sums within, and
-    must be the same both times. They are therefore checkpointed to the shared
-    folder, which also keeps them through the loss of an executor.
+    must be the same both times. They are therefore stored in the shared folder,
+    which also keeps them through the loss of an executor.
     """
-    shared_folder(scored.sparkSession)
     counts = score_counts(scored.where(is_defined(F.col(prob))), label, prob)
-    ranged = (
-        counts.repartitionByRange(F.desc("score"))
-        .withColumn("range_id", F.spark_partition_id())
-        .checkpoint()
-    )
+    in_ranges = counts.repartitionByRange(F.desc("score"))
+    ranged = store_table(in_ranges.withColumn("range_id", F.spark_partition_id()), "score_ranges")
     everything = Window.partitionBy()
     in_order = Window.orderBy("range_id")
     before = in_order.rowsBetween(Window.unboundedPreceding, -1)

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from veritally.functions.scores import DEFAULT_THRESHOLD
 from veritally.operators.confusion import (
     DEFAULT_GRID,
+    METRIC_COLUMNS,
     evaluation_metrics,
     operating_point_row,
-    threshold_sweep,
+    sweep_by_position,
 )
 from veritally.operators.curves import average_precision, pr_curve, roc_curve, running_counts
 from veritally.operators.mistakes import top_mistakes
@@ -22,7 +23,7 @@ from veritally.operators.slices import error_slices, text_facts
 from veritally.operators.splits import TEST, TRAIN, VALIDATION
 from veritally.plans.prepare import split_corpus
 from veritally.plans.scoring import Scorer, score_texts
-from veritally.session import scratch_path
+from veritally.session import store_table
 from veritally.sinks.reports import slices_document, write_csv, write_json
 
 
@@ -42,9 +43,7 @@ def store_scored(scored: DataFrame, key: str = "doc_id", text: str = "text") ->
     reads only its own columns, and a lost executor costs no rescoring.
     """
     columns = [c for c in (key, "labels", "toxic_prob", "logits") if c in scored.columns]
-    path = scratch_path(scored.sparkSession, "scored")
-    scored.select(*columns, *text_facts(F.col(text))).write.parquet(path)
-    return scored.sparkSession.read.parquet(path)
+    return store_table(scored.select(*columns, *text_facts(F.col(text))), "scored")
 
 
 def evaluate(
@@ -64,7 +63,7 @@ def evaluate(
     corpus itself, or they come from the plan behind ``scored``.
     """
     table = store_scored(scored, key, text)
-    running = running_counts(table)
+    running = store_table(running_counts(table), "running_counts")
     reports = {
         name: f"{out_dir.rstrip('/')}/{name}"
         for name in (
@@ -81,8 +80,10 @@ def evaluate(
     metrics, sweep, summary, slices, mistakes, roc, pr, ap = reports.values()
     logits = "logits" if "logits" in table.columns else None
     write_json(evaluation_metrics(table, threshold, logits=logits), metrics)
-    write_csv(threshold_sweep(table, grid), sweep)
-    write_json(operating_point_row(table, grid), summary)
+    points = sweep_by_position(table, grid).persist()  # as many rows as thresholds
+    write_csv(points.select(*METRIC_COLUMNS), sweep)
+    write_json(operating_point_row(points), summary)
+    points.unpersist()
     write_json(slices_document(error_slices(table, threshold)), slices)
     write_csv(
         top_mistakes(table, scored if texts is None else texts, n_top, threshold, key, text=text),

@@ -23,7 +23,8 @@ def load_probes(spark: SparkSession, path: str) -> DataFrame:
     With a schema given, Spark would silently fill a missing column with nulls
     and report the schema's names, so the header is read on its own first. Its
     order also gives the order of the schema; extra columns stay as strings.
-    A label that is no integer fails the read.
+    A label that is no integer fails the read. As fields may span lines, a file is
+    read by one task: keep a large probe set in several files.
     """
     try:
         header = spark.read.options(**csv.READ).csv(path)
