@@ -17,6 +17,7 @@ from veritally.functions.scores import (
     argmax_label,
     at_least,
     decide,
+    is_defined,
     toxic_probability,
 )
 from veritally.operators.curves import auc_of_counts, score_counts
@@ -79,34 +80,49 @@ def sweep_by_position(
 ) -> DataFrame:
     """Metrics per grid value, with ``grid_pos`` for its place in the grid.
 
-    All thresholds are counted in one scan. Each task sends a single row of
-    2 x (grid size + 1) counts, whatever the size or skew of its input, and an
-    empty input still yields every threshold.
+    A row needs only the number of thresholds its score reaches. Rows are counted
+    by that number, in one pass and with at most grid size + 1 groups however
+    skewed the scores are, and every threshold adds up the groups that reach it.
+    An empty input still yields every threshold.
     """
     require_columns(scored, [label, prob])
     if not grid:
         raise ValueError("the threshold grid is empty")
-    y, p = F.col(label), F.col(prob)
-    totals = scored.agg(
-        F.count_if(y == 1).alias("n_pos"),
-        F.count_if(y == 0).alias("n_neg"),
-        *[F.count_if((y == 1) & at_least(p, t)).alias(f"tp_{i}") for i, t in enumerate(grid)],
-        *[F.count_if((y == 0) & at_least(p, t)).alias(f"fp_{i}") for i, t in enumerate(grid)],
+    rising = sorted({float(t) for t in grid})
+    reached = F.when(~F.coalesce(is_defined(F.col(prob)), F.lit(False)), 0)
+    for n in range(len(rising), 0, -1):
+        reached = reached.when(F.col(prob) >= rising[n - 1], n)
+    groups = scored.groupBy(reached.otherwise(0).alias("reached")).agg(
+        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
-    points = F.array(
+    none = scored.sparkSession.range(1).select(
+        F.lit(0).alias("reached"),
+        F.lit(0).cast("bigint").alias("pos"),
+        F.lit(0).cast("bigint").alias("neg"),
+    )
+    thresholds = F.array(
         *[
             F.struct(
                 F.lit(i).alias("grid_pos"),
                 F.lit(float(t)).alias("threshold"),
-                F.col(f"tp_{i}").alias("tp"),
-                F.col(f"fp_{i}").alias("fp"),
-                (F.col("n_neg") - F.col(f"fp_{i}")).alias("tn"),
-                (F.col("n_pos") - F.col(f"tp_{i}")).alias("fn"),
+                F.lit(rising.index(float(t)) + 1).alias("needed"),
             )
             for i, t in enumerate(grid)
         ]
     )
-    return _threshold_metrics(totals.select(F.inline(points)))
+    hit = F.col("reached") >= F.col("needed")
+    counts = (
+        groups.unionByName(none)
+        .select("*", F.inline(thresholds))
+        .groupBy("grid_pos", "threshold")
+        .agg(
+            F.sum(F.when(hit, F.col("pos")).otherwise(0)).alias("tp"),
+            F.sum(F.when(hit, F.col("neg")).otherwise(0)).alias("fp"),
+            F.sum(F.when(hit, 0).otherwise(F.col("neg"))).alias("tn"),
+            F.sum(F.when(hit, 0).otherwise(F.col("pos"))).alias("fn"),
+        )
+    )
+    return _threshold_metrics(counts)
 
 
 def threshold_sweep(
