@@ -95,7 +95,7 @@ def sweep_by_position(
     groups = scored.groupBy(reached.otherwise(0).alias("reached")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
-    none = scored.sparkSession.range(1).select(
+    none = scored.sparkSession.range(0, 1, 1, 1).select(
         F.lit(0).alias("reached"),
         F.lit(0).cast("bigint").alias("pos"),
         F.lit(0).cast("bigint").alias("neg"),

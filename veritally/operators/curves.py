@@ -197,7 +197,7 @@ def roc_curve(running: DataFrame, drop_collinear: bool = False) -> DataFrame:
 
 def pr_curve(running: DataFrame) -> DataFrame:
     """``threshold, precision, recall``, and the end point (1, 0) without threshold."""
-    end = running.sparkSession.range(1).select(
+    end = running.sparkSession.range(0, 1, 1, 1).select(
         F.lit(None).cast("double").alias("threshold"),
         F.lit(1.0).alias("precision"),
         F.lit(0.0).alias("recall"),

@@ -58,7 +58,7 @@ def probe_summary(results: DataFrame, category: str = "category") -> DataFrame:
         )
     )
     # Grouping sets over no rows give no overall row, so there is always one.
-    nothing = results.sparkSession.range(1).select(
+    nothing = results.sparkSession.range(0, 1, 1, 1).select(
         F.lit(None).cast("string").alias("category"),
         *[F.lit(0).cast("bigint").alias(c) for c in parts],
     )
