@@ -2,17 +2,29 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from veritally.llm import exact, mixing, warc
+from veritally.llm import bpe, exact, mixing, substring, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    """The public vocabulary file of the BPE queries; its package is part of the environment."""
+    return importlib.import_module("public_tokenizers").path("word_bpe_49k.json")
+
+
+def op2_substring_dedup(spark, sf_dir):
+    kept = substring.remove_repeated(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op4_exact_dedup(spark, sf_dir):
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -22,13 +34,26 @@ def op5_warc_archive(spark, sf_dir):
     return warc.read_archive(spark, warc.write_archive(pages))
 
 
+def op9_bpe_words(spark, sf_dir):
+    path = tokenizer_path()
+    encoded = bpe.encode_documents(table(spark, sf_dir, "documents"), path)
+    return bpe.decode_documents(encoded, path).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op10_mix_sources(spark, sf_dir):
     return mixing.mix_counts(table(spark, sf_dir, "documents")).drop("copies")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_warc_archive": op5_warc_archive,
+    "op9_bpe_words": op9_bpe_words,
     "op10_mix_sources": op10_mix_sources,
 }
 
@@ -39,6 +64,31 @@ _BASE32 = " || ".join(
 )
 
 ORACLES: dict[str, str] = {
+    "op2_substring_dedup": """
+        WITH split AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+            FROM documents),
+        placed AS (
+            SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM split),
+        windows AS (
+            SELECT doc_id, pos, list(word) OVER next AS words, count(*) OVER next AS n
+            FROM placed
+            WINDOW next AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)),
+        hashed AS (
+            SELECT doc_id, pos, md5(array_to_string(words, ' ')) AS h FROM windows WHERE n = 35),
+        repeated AS (SELECT h FROM hashed GROUP BY h HAVING count(*) > 1),
+        starts AS (SELECT doc_id, pos, TRUE AS hit FROM hashed SEMI JOIN repeated USING (h)),
+        judged AS (
+            SELECT placed.doc_id, placed.pos, word,
+                   coalesce(bool_or(hit) OVER (PARTITION BY placed.doc_id ORDER BY placed.pos
+                       ROWS BETWEEN 34 PRECEDING AND CURRENT ROW), FALSE) AS removed
+            FROM placed LEFT JOIN starts ON starts.doc_id = placed.doc_id AND starts.pos = placed.pos)
+        SELECT documents.doc_id, count(word) AS n_words,
+               count(*) FILTER (removed) AS n_removed,
+               sha256(coalesce(string_agg(word, ' ' ORDER BY pos) FILTER (NOT removed), ''))
+                   AS kept_sha256
+        FROM documents LEFT JOIN judged ON judged.doc_id = documents.doc_id
+        GROUP BY documents.doc_id""",
     "op4_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
