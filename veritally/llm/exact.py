@@ -36,7 +36,8 @@ def exact_duplicates(
 
     The first split needs only lengths and prefixes, so texts are moved once, and only
     those of groups with two rows or more are looked at again. Hot groups are counted on
-    the map side; the joins that hand the counts back can be split by Spark.
+    the map side; the joins that hand the counts back can be split by Spark. They are merge
+    joins at every size, so that the cost follows the input without a jump.
     """
     rows = docs.select(
         F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_rest")
@@ -46,8 +47,8 @@ def exact_duplicates(
     groups = _numbered(here.groupBy("_size", "_slice"), "radix_groups")
     narrow = here.select("_key", "_size", "_slice", F.sha2("_rest", 256).alias("_sha"))
     shared = groups.select("_size", "_slice", "_group", "_n", "_keep")
-    finished = [_single(narrow.join(shared, ["_size", "_slice"], "left_anti"))]
-    level = here.join(shared, ["_size", "_slice"]).select(
+    finished = [_single(narrow.join(shared.hint("merge"), ["_size", "_slice"], "left_anti"))]
+    level = here.join(shared.hint("merge"), ["_size", "_slice"]).select(
         "_key", "_group", "_size", "_n", "_keep", "_rest"
     )
     level = store_table(_advance(level, step, F.sha2("_rest", 256)), "radix_level")
@@ -63,7 +64,7 @@ def exact_duplicates(
             "_group", "_next"
         )
         split = here.join(
-            groups.withColumnRenamed("_parent", "_group"), ["_group", "_slice"], "left"
+            groups.withColumnRenamed("_parent", "_group").hint("merge"), ["_group", "_slice"], "left"
         ).select("_key", F.col("_next").alias("_group"), "_size", "_n", "_keep", "_rest", "_sha")
         level = store_table(_advance(split, step, F.col("_sha")), "radix_level")
     return reduce(DataFrame.unionByName, finished).select(
