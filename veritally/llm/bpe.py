@@ -221,7 +221,7 @@ def encode_documents(
     renamed = filling.withColumnsRenamed({"key": "fill_key", "mark": "fill_mark"})
     on = F.col("key").eqNullSafe(F.col("fill_key")) & (F.col("mark") == F.col("fill_mark"))
     return (
-        ids.join(renamed, on, "left")
+        ids.join(renamed.hint("merge"), on, "left")
         .select("key", "n", "n_holes", "packed", "filling")
         .mapInArrow(_fill_task(), f"key {kind}, n_tokens long, ids binary")
         .withColumnRenamed("key", key)

@@ -59,7 +59,7 @@ def repeated_spans(
     rows = _rows(docs, key, text)
     reaches = rows.mapInArrow(_reach_task(window, anchor), _REACH)
     known = reaches.groupBy("anchor").agg(F.count(F.lit(1)).alias("places")).where("places > 1")
-    shared = store_table(reaches.join(known.select("anchor"), "anchor"), "reaches")
+    shared = store_table(reaches.join(known.select("anchor").hint("merge"), "anchor"), "reaches")
     place = F.struct("row", "start")
     texts = shared.groupBy("anchor", "reach").agg(
         F.count(F.lit(1)).alias("places"),
@@ -101,7 +101,7 @@ def _boundary_windows(rows: DataFrame, texts: DataFrame, window: int) -> DataFra
     )
     lists = probes.groupBy("row").agg(F.collect_list("probe").alias("probes"))
     hashed = store_table(
-        rows.join(lists, "row").mapInArrow(_window_task(window), _WINDOWS), "reach_windows"
+        rows.join(lists.hint("merge"), "row").mapInArrow(_window_task(window), _WINDOWS), "reach_windows"
     )
     counted = hashed.groupBy("anchor", "words").agg(F.count(F.lit(1)).alias("places"))
     repeated = counted.where("places > 1").select("anchor", "words")
@@ -125,7 +125,7 @@ def remove_repeated(
     """
     spans = repeated_spans(docs, key=key, text=text, window=window, anchor=anchor)
     lists = spans.groupBy("row").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
-    rows = _rows(docs, key, text, keep=True).join(lists, "row", "left")
+    rows = _rows(docs, key, text, keep=True).join(lists.hint("merge"), "row", "left")
     kind = docs.schema[key].dataType.simpleString()
     return rows.mapInArrow(
         _removal_task(), f"key {kind}, n_words long, n_removed long, kept_text string"
