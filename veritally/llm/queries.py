@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritally.llm import bpe, exact, mixing, substring, warc
+from veritally.llm import bpe, exact, mixing, neardup, substring, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op5_warc_archive(spark, sf_dir):
     return warc.read_archive(spark, warc.write_archive(pages))
 
 
+def op8_probminhash(spark, sf_dir):
+    return neardup.near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe_words(spark, sf_dir):
     path = tokenizer_path()
     encoded = bpe.encode_documents(table(spark, sf_dir, "documents"), path)
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_warc_archive": op5_warc_archive,
+    "op8_probminhash": op8_probminhash,
     "op9_bpe_words": op9_bpe_words,
     "op10_mix_sources": op10_mix_sources,
 }
