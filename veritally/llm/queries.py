@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritally.llm import bpe, exact, mixing, neardup, substring, warc
+from veritally.llm import bpe, exact, language, mixing, neardup, substring, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,12 @@ def tokenizer_path() -> str:
     return importlib.import_module("public_tokenizers").path("word_bpe_49k.json")
 
 
+def op1_byte_network(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.train_on(docs))
+    return found.select("doc_id", language.is_held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def op2_substring_dedup(spark, sf_dir):
     kept = substring.remove_repeated(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -54,6 +60,7 @@ def op10_mix_sources(spark, sf_dir):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_byte_network": op1_byte_network,
     "op2_substring_dedup": op2_substring_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_warc_archive": op5_warc_archive,
