@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritally.llm import bpe, exact, language, mixing, neardup, substring, warc
+from veritally.llm import bpe, exact, language, mixing, neardup, neighbours, substring, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,11 @@ def op5_warc_archive(spark, sf_dir):
     return warc.read_archive(spark, warc.write_archive(pages))
 
 
+def op7_vantage_trees(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest_neighbours(rows, F.col("vec_id") % 20 == 0)
+
+
 def op8_probminhash(spark, sf_dir):
     return neardup.near_duplicate_classes(table(spark, sf_dir, "documents"))
 
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_warc_archive": op5_warc_archive,
+    "op7_vantage_trees": op7_vantage_trees,
     "op8_probminhash": op8_probminhash,
     "op9_bpe_words": op9_bpe_words,
     "op10_mix_sources": op10_mix_sources,
