@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritally.llm import bpe, exact, language, mixing, neardup, neighbours, substring, warc
+from veritally.llm import bpe, exact, language, licenses, lines, mixing, neardup, neighbours, substring, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,13 @@ def op2_substring_dedup(spark, sf_dir):
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op3_winnow_lines(spark, sf_dir):
+    kept = lines.remove_repeated_lines(table(spark, sf_dir, "documents"))
+    return kept.select(
+        "_row.doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 def op4_exact_dedup(spark, sf_dir):
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -40,6 +47,11 @@ def op5_warc_archive(spark, sf_dir):
     return warc.read_archive(spark, warc.write_archive(pages))
 
 
+def op6_license_paragraphs(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return licenses.scan_licenses(docs, licenses.train_licenses(docs))
+
+
 def op7_vantage_trees(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings")
     return neighbours.nearest_neighbours(rows, F.col("vec_id") % 20 == 0)
@@ -50,9 +62,8 @@ def op8_probminhash(spark, sf_dir):
 
 
 def op9_bpe_words(spark, sf_dir):
-    path = tokenizer_path()
-    encoded = bpe.encode_documents(table(spark, sf_dir, "documents"), path)
-    return bpe.decode_documents(encoded, path).select(
+    docs = table(spark, sf_dir, "documents")
+    return bpe.encode_documents(docs, tokenizer_path(), decode=True).select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),
@@ -67,8 +78,10 @@ def op10_mix_sources(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_network": op1_byte_network,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_winnow_lines": op3_winnow_lines,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_warc_archive": op5_warc_archive,
+    "op6_license_paragraphs": op6_license_paragraphs,
     "op7_vantage_trees": op7_vantage_trees,
     "op8_probminhash": op8_probminhash,
     "op9_bpe_words": op9_bpe_words,
@@ -107,6 +120,28 @@ ORACLES: dict[str, str] = {
                    AS kept_sha256
         FROM documents LEFT JOIN judged ON judged.doc_id = documents.doc_id
         GROUP BY documents.doc_id""",
+    "op3_winnow_lines": """
+        WITH split AS (
+            SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text <> ''),
+        placed AS (
+            SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM split),
+        solid AS (
+            SELECT *, lead(line) OVER next AS after, lead(i) OVER next AS after_i
+            FROM placed WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')
+            WINDOW next AS (PARTITION BY doc_id ORDER BY i)),
+        judged AS (
+            SELECT doc_id, i, after_i,
+                   row_number() OVER (PARTITION BY line, after ORDER BY doc_id, i) > 1 AS later
+            FROM solid WHERE after IS NOT NULL),
+        gone AS (
+            SELECT doc_id, i FROM judged WHERE later
+            UNION SELECT doc_id, after_i FROM judged WHERE later)
+        SELECT documents.doc_id, count(placed.i) AS n_lines, count(gone.i) AS n_removed,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY placed.i)
+                               FILTER (gone.i IS NULL), '')) AS kept_sha256
+        FROM documents LEFT JOIN placed ON placed.doc_id = documents.doc_id
+        LEFT JOIN gone ON gone.doc_id = placed.doc_id AND gone.i = placed.i
+        GROUP BY documents.doc_id""",
     "op4_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
