@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from veritally.operators import confusion as C
 
-PERFECT = [(0, 0.1), (0, 0.2), (1, 0.8), (1, 0.9)]
-WRONG = [(0, 0.9), (0, 0.9), (1, 0.1), (1, 0.1)]
-MIXED = [(0, 0.2), (0, 0.4), (1, 0.3), (1, 0.6), (1, 0.8)]
+PERFECT = [(0, 0.03), (0, 0.21), (0, 0.17), (1, 0.77), (1, 0.83)]
+WRONG = [(0, 0.62), (0, 0.99), (0, 0.71), (1, 0.22), (1, 0.49)]
+MIXED = [(0, 0.35), (1, 0.25), (0, 0.15), (1, 0.95), (1, 0.55), (0, 0.65)]
 
 
 def at(scored, pairs, threshold=0.5):
@@ -21,10 +21,10 @@ def at(scored, pairs, threshold=0.5):
 def test_perfect_and_all_wrong(scored):
     got = at(scored, PERFECT)
     assert (got["precision"], got["recall"], got["f1"], got["accuracy"]) == (1, 1, 1, 1)
-    assert (got["tp"], got["fp"], got["tn"], got["fn"]) == (2, 0, 2, 0)
+    assert (got["tp"], got["fp"], got["tn"], got["fn"]) == (2, 0, 3, 0)
     got = at(scored, WRONG)
     assert (got["precision"], got["recall"], got["f1"], got["accuracy"]) == (0, 0, 0, 0)
-    assert (got["tp"], got["fp"], got["tn"], got["fn"]) == (0, 2, 0, 2)
+    assert (got["tp"], got["fp"], got["tn"], got["fn"]) == (0, 3, 0, 2)
 
 
 def test_threshold_is_echoed_and_inclusive(scored):
@@ -67,7 +67,7 @@ def points(df, **options):
 
 def test_operating_points(scored):
     got = points(scored(MIXED), grid=[0.1, 0.3, 0.5, 0.7])
-    assert got["best_f1"]["threshold"] == 0.3
+    assert got["best_f1"]["threshold"] == 0.1
     assert got["high_recall_threshold"]["threshold"] == 0.1
     assert got["high_precision_threshold"]["threshold"] == 0.7
     assert isinstance(got["best_f1"]["tp"], int)
@@ -109,9 +109,18 @@ def test_argmax_and_threshold_disagree_at_one_half(spark):
 @pytest.mark.parametrize("logits", ["logits", None])
 def test_core_metrics(scored, logits):
     got = rows(C.core_metrics(with_logits(scored(MIXED)), logits=logits))[0]
-    assert got["accuracy"] == 4 / 5
-    assert (got["precision"], got["recall"], got["f1"]) == (1.0, 2 / 3, 4 / 5)
-    assert got["roc_auc"] == 5 / 6
+    assert got["accuracy"] == 4 / 6
+    assert (got["precision"], got["recall"], got["f1"]) == (2 / 3, 2 / 3, 2 / 3)
+    assert got["roc_auc"] == 6 / 9
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.5, 0.7])
+def test_matrix_goes_by_the_stored_probability(scored, threshold):
+    """Logits on another scale must not move the matrix away from the sweep."""
+    df = with_logits(scored(MIXED)).withColumn("logits", F.transform("logits", lambda x: 2 * x))
+    matrix = rows(C.evaluation_metrics(df, threshold))[0]["confusion_matrix"]
+    sweep = rows(C.metrics_at_threshold(df, threshold))[0]
+    assert matrix == {n: sweep[n] for n in ("tp", "fp", "tn", "fn")}
 
 
 def test_core_metrics_on_one_class_and_on_nothing(scored):

@@ -126,3 +126,41 @@ def test_read_splits_from_each_format(spark, tmp_path, fmt):
 def test_text_formats_need_a_schema(spark):
     with pytest.raises(ValueError, match="schema"):
         read_table(spark, "/nowhere", "json")
+
+
+def corpus_file(tmp_path, body, name):
+    folder = tmp_path / "corpus"
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text(body, encoding="utf-8")
+    return str(folder)
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    path = corpus_file(tmp_path, "toxicity,extra,text\n1,x,a\n0,y,b\n", "a.csv")
+    got = rows(read_table(spark, path, "csv", "text string, toxicity int"))
+    assert got == [{"text": "a", "toxicity": 1}, {"text": "b", "toxicity": 0}]
+
+
+@pytest.mark.parametrize(
+    "fmt, body", [("csv", "text,other\na,1\n"), ("json", '{"text": "a", "other": 1}\n')]
+)
+def test_a_missing_column_is_refused(spark, tmp_path, fmt, body):
+    path = corpus_file(tmp_path, body, f"a.{fmt}")
+    with pytest.raises(ValueError, match="lacks columns"):
+        read_table(spark, path, fmt, "text string, toxicity int")
+
+
+@pytest.mark.parametrize(
+    "fmt, body", [("csv", "text,toxicity\na,yes\n"), ("json", '{"text": "a", "toxicity": "yes"}\n')]
+)
+def test_a_malformed_label_fails_the_read(spark, tmp_path, fmt, body):
+    path = corpus_file(tmp_path, body, f"a.{fmt}")
+    with pytest.raises(Exception, match="(?i)malformed|cannot parse|MALFORMED"):
+        read_table(spark, path, fmt, "text string, toxicity int").collect()
+
+
+def test_files_with_another_header_are_refused(spark, tmp_path):
+    corpus_file(tmp_path, "text,toxicity\na,1\n", "a.csv")
+    path = corpus_file(tmp_path, "toxicity,text\n1,b\n", "b.csv")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_table(spark, path, "csv", "text string, toxicity int").collect()

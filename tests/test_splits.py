@@ -78,7 +78,7 @@ def test_subsample_is_exact_and_takes_the_smallest_digests(spark, max_train, max
     whole, got = members(df), members(S.subsample(df, max_train, max_eval))
     for name, ids in whole.items():
         limit = max_train if name == "train" else max_eval
-        expected = sorted(ids, key=lambda i: (digest(i, 42), i))[:limit]
+        expected = sorted(ids, key=lambda i: (digest(i, "42:sample"), i))[:limit]
         assert got.get(name, []) == sorted(expected)
 
 
@@ -100,7 +100,7 @@ def test_subsample_within_one_bucket(spark, monkeypatch):
     df = split_frame(spark, 400)
     got = members(S.subsample(df, 20, 5))
     assert {k: len(v) for k, v in got.items()} == {"train": 20, "validation": 5, "test": 5}
-    expected = sorted(members(df)["train"], key=lambda i: digest(i, 42))[:20]
+    expected = sorted(members(df)["train"], key=lambda i: digest(i, "42:sample"))[:20]
     assert got["train"] == sorted(expected)
 
 
@@ -125,3 +125,27 @@ def test_sample_per_label_survives_a_dominant_label(spark):
     assert all(r.text == "t" for r in got)
     rare = df.where("doc_id > 2987").withColumn("labels", F.lit(1))
     assert S.sample_per_label(rare, n=50).count() == 12
+
+
+def test_supplied_splits_are_found_and_kept(spark):
+    came = spark.range(300).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") < 200, "train").otherwise("test").alias("split")
+    )
+    got = S.assign_splits(came)
+    assert {r.doc_id for r in got.where("split = 'test'").collect()} == set(range(200, 300))
+    assert got.where("split = 'validation'").count() > 0
+    with pytest.raises(ValueError, match="split column"):
+        S.assign_splits(came, present=("train",)).count()
+
+
+def test_an_unknown_split_name_is_refused(spark):
+    odd = spark.range(3).select(F.col("id").alias("doc_id"), F.lit("dev").alias("split"))
+    with pytest.raises(ValueError, match="unknown splits"):
+        S.assign_splits(odd)
+
+
+def test_subsample_does_not_hug_the_edge_of_a_split(spark):
+    df = S.assign_splits(spark.range(2000).withColumnRenamed("id", "doc_id"))
+    kept = S.subsample(df, 300, None).where("split = 'train'")
+    wider = S.assign_splits(kept.drop("split"), val_ratio=0.2)
+    assert 0 < wider.where("split = 'validation'").count() < 150

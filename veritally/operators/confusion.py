@@ -23,6 +23,7 @@ from veritally.functions.scores import (
 from veritally.operators.curves import auc_of_counts, score_counts
 from veritally.sources.schema import require_columns
 
+# The default thresholds and floors, and the names that reports carry.
 DEFAULT_GRID = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9)
 RECALL_FLOOR = 0.85
 PRECISION_FLOOR = 0.90
@@ -144,6 +145,7 @@ def metrics_at_threshold(
     return threshold_sweep(scored, [threshold], label, prob)
 
 
+# Names of the operating points.
 POINT_NAMES = ("best_f1", "high_recall_threshold", "high_precision_threshold")
 
 
@@ -220,8 +222,9 @@ def evaluation_metrics(
     Accuracy, precision, recall and F1 belong to the argmax label, the confusion
     matrix to the threshold; at a probability of exactly 0.5 the two differ.
     Undefined precision, recall or F1 is 0; AUC over one class or over an
-    undefined score is null. Without logits the argmax label is ``prob > 0.5``
-    and the scores are taken as they are.
+    undefined score is null. A stored ``prob`` is what the threshold and the AUC go by,
+    as in the sweep; without it the softmax of the logits stands in. Without logits the
+    argmax label is ``prob > 0.5``.
 
     Rows are grouped by score once, which feeds the counts and the AUC alike.
     """
@@ -229,7 +232,8 @@ def evaluation_metrics(
     if logits is None:
         p, argmax = F.col(prob), (at_least(F.col(prob), 0.5) & (F.col(prob) != 0.5)).cast("int")
     else:
-        p, argmax = toxic_probability(F.col(logits)), argmax_label(F.col(logits))
+        p = F.col(prob) if prob in df.columns else toxic_probability(F.col(logits))
+        argmax = argmax_label(F.col(logits))
     summary, auc = _summary(df, label, p, argmax, threshold)
     tp, fp = F.col("top_tp"), F.col("top_fp")
     fn, tn = F.col("n_pos") - tp, F.col("n_neg") - fp

@@ -8,7 +8,7 @@ import zlib
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veritally.functions.text import token_count, tokens
+from veritally.functions.text import TOKEN, WHITESPACE, token_count, tokens
 from veritally.sources.schema import require_columns
 
 # Ids of the special tokens.
@@ -18,6 +18,9 @@ FIRST_TOKEN_ID = 4
 DEFAULT_VOCABULARY = 5000
 DEFAULT_MAX_LENGTH = 128
 
+# The vocabulary travels inside the plan, so its size is checked.
+LARGEST_VOCABULARY = 100_000
+
 
 def build_vocabulary(
     df: DataFrame, size: int = DEFAULT_VOCABULARY, text: str = "text"
@@ -51,10 +54,13 @@ def _lookup_table(vocabulary: DataFrame) -> tuple[Column, int]:
     """The vocabulary as a constant: an array of small maps, indexed by a hash.
 
     Spark searches a map from its first key to its last, so one map of thousands
-    of tokens would be slow. The rows collected here are the vocabulary alone,
-    whose size the caller fixed when building it.
+    of tokens would be slow. At most ``LARGEST_VOCABULARY`` rows are collected; a larger
+    vocabulary is refused.
     """
-    entries = [(r["token"], r["id"]) for r in vocabulary.select("token", "id").collect()]
+    found = vocabulary.select("token", "id").limit(LARGEST_VOCABULARY + 1).collect()
+    if len(found) > LARGEST_VOCABULARY:
+        raise ValueError(f"the vocabulary has more than {LARGEST_VOCABULARY} tokens")
+    entries = [(r["token"], r["id"]) for r in found]
     width = max(1, 2 * len(entries))
     table: list[dict[str, int]] = [{} for _ in range(width)]
     for token, token_id in entries:
@@ -81,7 +87,14 @@ def encode_fixed_length(
     if max_length < 2:
         raise ValueError("max_length must leave room for the boundary tokens")
     table, width = _lookup_table(vocabulary)
-    body = F.slice(tokens(F.coalesce(F.col(text), F.lit(""))), 1, max_length - 2)
+    # The part that holds the first tokens is cut out before it is split, so that the rest of
+    # a long text costs nothing.
+    head = F.regexp_extract(
+        F.coalesce(F.col(text), F.lit("")),
+        f"^(?:[{WHITESPACE}]*+(?:{TOKEN})){{0,{max_length - 2}}}+",
+        0,
+    )
+    body = F.slice(tokens(head), 1, max_length - 2)
 
     def token_id(token: Column) -> Column:
         slot = F.crc32(token.cast("binary")) % width

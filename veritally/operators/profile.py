@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from veritally.functions.ratios import ratio_or_null, ratio_or_zero
 from veritally.functions.text import char_length, word_length
@@ -63,8 +64,11 @@ def _value_counts(df: DataFrame, label: str, measures: Sequence[str]) -> DataFra
 
     Everything below works on this table. Its size depends on how many different
     lengths there are, not on the rows, and frequent lengths are merged on the
-    map side.
+    map side. Measures are whole numbers; others are refused rather than cut off.
     """
+    for m in measures:
+        if not isinstance(df.schema[m].dataType, IntegralType):
+            raise ValueError(f"measure '{m}' is {df.schema[m].dataType.simpleString()}, not integral")
     pairs = F.array(
         *[F.struct(F.lit(m).alias("measure"), F.col(m).cast("bigint").alias("value"))
           for m in measures]

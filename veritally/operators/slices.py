@@ -28,6 +28,7 @@ def text_facts(text: Column) -> list[Column]:
     Take them where the texts are read: a later join then moves these and not
     the texts.
     """
+    text = F.coalesce(text, F.lit(""))  # a null text is a short one in every slice
     length = F.length(text)
     return [
         F.when(length < 50, "short").when(length < 200, "medium").otherwise("long").alias(

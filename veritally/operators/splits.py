@@ -30,18 +30,19 @@ def assign_splits(
     val_ratio: float = 0.1,
     test_ratio: float = 0.1,
     seed: int = 42,
-    present: Collection[str] = (TRAIN,),
+    present: Collection[str] | None = None,
 ) -> DataFrame:
     """Fill the ``split`` column from a hash of the key.
 
-    ``present`` names the splits the corpus came with. With only ``train``, all
+    ``present`` names the splits the corpus came with; by default they are looked up in
+    its ``split`` column, and a corpus without one is all ``train``. With only ``train``, all
     rows are divided three ways. With ``train`` and ``test``, validation rows
     are carved out of ``train`` and the ratio counts train rows only. With all
     three, nothing changes. A map-only step: no shuffle, no sort, and a row
     keeps its split when the corpus grows.
     """
     check_ratios(val_ratio, test_ratio)
-    names = set(present)
+    names = set(splits_present(df) if present is None else present)
     if TRAIN not in names or names - {TRAIN, VALIDATION, TEST}:
         raise ValueError(f"cannot use splits {sorted(names)}")
     if VALIDATION in names and TEST not in names:
@@ -50,6 +51,8 @@ def assign_splits(
         return require_columns(df, ["split"])
     require_columns(df, [key])
     u = unit_interval(F.col(key), seed)
+    if names == {TRAIN} and "split" in df.columns and present is not None:
+        raise ValueError("the corpus has a split column; leave out 'present' or name its splits")
     if names == {TRAIN}:
         split = (
             F.when(u < test_ratio, TEST)
@@ -64,6 +67,17 @@ def assign_splits(
     return df.withColumn("split", split)
 
 
+def splits_present(df: DataFrame) -> list[str]:
+    """Names in the ``split`` column. There are three at most, so a few rows are read back."""
+    if "split" not in df.columns:
+        return [TRAIN]
+    found = [r["split"] for r in df.select("split").distinct().limit(5).collect()]
+    unknown = sorted(map(str, set(found) - {TRAIN, VALIDATION, TEST}))
+    if unknown:
+        raise ValueError(f"unknown splits {unknown}")
+    return found or [TRAIN]
+
+
 def split_sizes(df: DataFrame) -> DataFrame:
     require_columns(df, ["split"])
     return df.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
@@ -94,7 +108,9 @@ def subsample(
     limit = F.when(F.col("split") == TRAIN, F.lit(max_train)).otherwise(F.lit(max_eval))
     # A split limited to nothing has no digest to cut at.
     kept = df.where(limit.isNull() | (limit > 0))
-    place = F.struct(digest(F.col(key), seed).alias("digest"), F.col(key).alias("key"))
+    # Not the digest that assigns splits: a sample must not hug the edge of one.
+    salt = f"{seed}:sample"
+    place = F.struct(digest(F.col(key), salt).alias("digest"), F.col(key).alias("key"))
 
     places = kept.where(limit.isNotNull()).select("split", place.alias("place"))
     bucket = F.substring("place.digest", 1, _BUCKET_DIGITS)

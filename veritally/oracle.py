@@ -290,7 +290,7 @@ FROM split_rows""",
     "split_sizes": f"WITH {_SPLIT} SELECT split, count(*) AS n FROM split_rows GROUP BY 1",
     "subsample": f"""WITH {_SPLIT}
 SELECT doc_id, text, labels, split FROM split_rows
-QUALIFY row_number() OVER (PARTITION BY split ORDER BY md5(doc_id || ':42'), doc_id)
+QUALIFY row_number() OVER (PARTITION BY split ORDER BY md5(doc_id || ':42:sample'), doc_id)
   <= CASE WHEN split = 'train' THEN 200 ELSE 25 END""",
     "sample_per_label": f"""WITH {_LABELLED},
 ranked AS (SELECT doc_id, text, labels,

@@ -20,7 +20,7 @@ from veritally.operators.curves import average_precision, pr_curve, roc_curve, r
 from veritally.operators.mistakes import top_mistakes
 from veritally.operators.prepare import clean_rows, map_labels
 from veritally.operators.slices import error_slices, text_facts
-from veritally.operators.splits import TEST, TRAIN, VALIDATION
+from veritally.operators.splits import TEST, VALIDATION
 from veritally.plans.prepare import split_corpus
 from veritally.plans.scoring import Scorer, score_texts
 from veritally.session import store_table
@@ -62,6 +62,7 @@ def evaluate(
     ``texts`` is where the texts of the worst mistakes are read from. Give the
     corpus itself, or they come from the plan behind ``scored``.
     """
+    # The names of the reports.
     table = store_scored(scored, key, text)
     running = store_table(running_counts(table), "running_counts")
     reports = {
@@ -81,16 +82,21 @@ def evaluate(
     logits = "logits" if "logits" in table.columns else None
     write_json(evaluation_metrics(table, threshold, logits=logits), metrics)
     points = sweep_by_position(table, grid).persist()  # as many rows as thresholds
-    write_csv(points.select(*METRIC_COLUMNS), sweep)
-    write_json(operating_point_row(points), summary)
-    points.unpersist()
+    try:
+        in_order = points.orderBy("grid_pos").coalesce(1)
+        write_csv(in_order.select(*METRIC_COLUMNS), sweep)
+        write_json(operating_point_row(points), summary)
+    finally:
+        points.unpersist()
     write_json(slices_document(error_slices(table, threshold)), slices)
     write_csv(
         top_mistakes(table, scored if texts is None else texts, n_top, threshold, key, text=text),
         mistakes,
     )
-    write_csv(roc_curve(running, drop_collinear=True), roc)
-    write_csv(pr_curve(running), pr)
+    # Part files follow the curve: ROC from (0, 0), precision-recall to its end point.
+    roc_points = roc_curve(running, drop_collinear=True)
+    write_csv(roc_points.orderBy(F.col("threshold").desc_nulls_first()), roc)
+    write_csv(pr_curve(running).orderBy(F.col("threshold").asc_nulls_last()), pr)
     write_json(average_precision(running), ap)
     return Evaluation(table, reports)
 
@@ -111,7 +117,7 @@ def run_evaluation(
     max_train: int | None = None,
     max_eval: int | None = None,
     seed: int = 42,
-    present: Collection[str] = (TRAIN,),
+    present: Collection[str] | None = None,
     texts: DataFrame | None = None,
 ) -> Evaluation:
     """Split, clean, map labels, score one split and evaluate it.

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -20,9 +20,10 @@ from veritally.functions.scores import argmax_label
 from veritally.functions.text import TOKEN
 from veritally.operators.confusion import confusion_counts, f1_or_zero
 from veritally.operators.splits import TRAIN, VALIDATION
+from veritally.session import store_table
 from veritally.sources.schema import require_columns
 
-DEFAULT_FEATURES = 1 << 14
+DEFAULT_FEATURES = 1 << 18
 DEFAULT_REG_PARAMS = (0.001, 0.01, 0.1)
 
 
@@ -77,41 +78,36 @@ def train_classifier(
     reg_params: Sequence[float] = DEFAULT_REG_PARAMS,
     n_features: int = DEFAULT_FEATURES,
     max_iter: int = 20,
-    parallelism: int = 3,
+    parallelism: int = 1,
 ) -> Training:
     """Fit on the train split, keep the candidate with the best validation F1.
 
     Candidates differ in regularisation; the first of equals wins. Rows are not
     weighted by class. Texts are read and tokenised once: their term counts are
-    kept, on disk where memory is short, and a lost block is computed anew.
+    written to the shared folder, whence a lost executor costs none of that work.
     ``parallelism`` candidates are fitted at a time, each over its own copy of the
-    train vectors; lower it where those are large.
+    train vectors, so by default one.
     """
     require_columns(prepared, [text, "labels", "split"])
     if not reg_params:
         raise ValueError("no candidate given")
     rows = prepared.select(text, "labels", "split").where(F.col("split").isin(TRAIN, VALIDATION))
     counter = _term_counts(text, n_features)
-    counts = (
-        counter.transform(rows)
-        .select("split", "labels", "_counts")
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    counts = store_table(
+        counter.transform(rows).select("split", "labels", "_counts"), "term_counts"
     )
     in_train = F.col("split") == TRAIN
     learner = LogisticRegression(
         labelCol="labels", featuresCol="features", family="binomial", maxIter=max_iter
     )
     grid = [{learner.regParam: r} for r in reg_params]
-    try:
-        weights = IDF(inputCol="_counts", outputCol="features").fit(counts.where(in_train))
-        vectors = weights.transform(counts).drop("_counts")
-        with ThreadPool(min(parallelism, len(grid))) as pool:
-            fitted = learner.fitMultiple(vectors.where(in_train), grid)
-            fit_next = inheritable_thread_target(counts.sparkSession)(lambda _: next(fitted))
-            models = [m for _, m in sorted(pool.map(fit_next, grid), key=lambda pair: pair[0])]
-        scores = _validation_f1(models, vectors.where(~in_train))
-    finally:
-        counts.unpersist()
+    weights = IDF(inputCol="_counts", outputCol="features").fit(counts.where(in_train))
+    vectors = weights.transform(counts).drop("_counts")
+    with ThreadPool(min(parallelism, len(grid))) as pool:
+        fitted = learner.fitMultiple(vectors.where(in_train), grid)
+        fit_next = inheritable_thread_target(counts.sparkSession)(lambda _: next(fitted))
+        models = [m for _, m in sorted(pool.map(fit_next, grid), key=lambda pair: pair[0])]
+    scores = _validation_f1(models, vectors.where(~in_train))
     best = max(range(len(scores)), key=lambda i: (scores[i], -i))
     model = PipelineModel(stages=[*counter.stages, weights, models[best]])
     return Training(model, list(zip(map(float, reg_params), scores)), float(reg_params[best]))
@@ -133,7 +129,11 @@ def load_model(spark: SparkSession, path: str) -> PipelineModel:
 
 
 class ModelScorer:
-    """Adds ``logits`` and ``toxic_prob`` with a fitted pipeline."""
+    """Adds ``logits`` and ``toxic_prob`` with a fitted pipeline.
+
+    Spark's raw prediction of two classes is ``[-m, m]`` with ``sigmoid(m)`` as probability.
+    Half of it is published, so that the softmax of ``logits`` is ``toxic_prob``.
+    """
 
     def __init__(self, model: PipelineModel, text: str = "text"):
         self.model, self.text = model, text
@@ -145,7 +145,7 @@ class ModelScorer:
             raise ValueError(f"columns {clash} would be overwritten by the model")
         return (
             self.model.transform(df)
-            .withColumn("logits", vector_to_array("rawPrediction"))
+            .withColumn("logits", F.transform(vector_to_array("rawPrediction"), lambda m: m / 2))
             .withColumn("toxic_prob", vector_to_array("probability")[1])
             .drop(*made)
         )

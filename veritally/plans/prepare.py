@@ -7,7 +7,7 @@ from collections.abc import Collection
 from pyspark.sql import DataFrame
 
 from veritally.operators.prepare import clean_rows, map_labels, normalize_column
-from veritally.operators.splits import TRAIN, assign_splits, subsample
+from veritally.operators.splits import assign_splits, subsample
 
 
 def split_corpus(
@@ -18,7 +18,7 @@ def split_corpus(
     max_train: int | None = None,
     max_eval: int | None = None,
     seed: int = 42,
-    present: Collection[str] = (TRAIN,),
+    present: Collection[str] | None = None,
 ) -> DataFrame:
     """Assign splits, then cut each to its limit."""
     split = assign_splits(corpus, key, val_ratio, test_ratio, seed, present)

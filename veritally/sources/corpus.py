@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from veritally.sources import csv
-from veritally.sources.schema import require_columns
+from veritally.sources.schema import require_columns, require_names
+
+CHECKED_LINES = 1000
 
 
 def read_table(
@@ -21,16 +23,26 @@ def read_table(
 ) -> DataFrame:
     """Read one corpus table from Parquet, ORC, JSON lines or CSV with a header.
 
-    Text formats need a schema: inference would read the whole corpus once more.
+    Text formats need a schema: inference would read the whole corpus once more. Its
+    columns must stand in the source, in any order: for CSV in the header, which all files
+    must share, for JSON in one of the first lines. A value that doesn't fit its
+    type fails the job rather than turning into a null.
     """
-    reader = spark.read.format(fmt)
-    if fmt in ("json", "csv"):
-        if schema is None:
-            raise ValueError(f"give a schema to read {fmt}")
-        reader = reader.schema(schema)
+    if fmt not in ("json", "csv"):
+        return spark.read.format(fmt).load(path)
+    if schema is None:
+        raise ValueError(f"give a schema to read {fmt}")
+    wanted = _struct(spark, schema)
     if fmt == "csv":
-        reader = reader.options(**csv.READ)
-    return reader.load(path)
+        return csv.read_by_name(spark, path, wanted, "corpus").select(*wanted.names)
+    lines = spark.read.text(path).limit(CHECKED_LINES)
+    keys = lines.select(F.explode(F.json_object_keys("value")).alias("key")).distinct().collect()
+    require_names([r["key"] for r in keys], wanted.names, "corpus")
+    return spark.read.schema(wanted).option("mode", "FAILFAST").json(path)
+
+
+def _struct(spark: SparkSession, schema: StructType | str) -> StructType:
+    return spark.createDataFrame([], schema).schema if isinstance(schema, str) else schema
 
 
 def read_splits(

@@ -6,6 +6,12 @@ around a value belong to it: by default Spark strips them when it writes.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
+
+from veritally.sources.schema import require_columns
+
 READ = {"header": "true", "multiLine": "true", "escape": '"'}
 WRITE = {
     "header": "true",
@@ -13,3 +19,25 @@ WRITE = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
+
+
+def read_by_name(spark: SparkSession, path: str, wanted: StructType, what: str) -> DataFrame:
+    """A CSV file or folder with the types of ``wanted``, matched by name.
+
+    With a schema given, Spark would silently fill a missing column with nulls and report
+    the schema's names, so the header is read on its own first. Its order gives the
+    order of the columns; extra ones stay as strings. A file with another header and a
+    value that doesn't fit its type fail the read. As fields may span lines, a file is
+    read by one task: keep a large table in several files.
+    """
+    try:
+        header = spark.read.options(**READ).csv(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            raise FileNotFoundError(f"no {what} at {path}") from error
+        raise
+    require_columns(header, wanted.names, what)
+    types = {f.name: f.dataType for f in wanted}
+    schema = StructType([StructField(c, types.get(c, StringType())) for c in header.columns])
+    strict = {"mode": "FAILFAST", "enforceSchema": "false"}
+    return spark.read.schema(schema).options(**READ, **strict).csv(path)

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from veritally.sources import csv
-from veritally.sources.schema import require_columns
 
 PROBE_COLUMNS = {
     "text": StringType(),
@@ -20,20 +18,8 @@ PROBE_COLUMNS = {
 def load_probes(spark: SparkSession, path: str) -> DataFrame:
     """Read a probe CSV (a file, or a folder of files with the same header).
 
-    With a schema given, Spark would silently fill a missing column with nulls
-    and report the schema's names, so the header is read on its own first. Its
-    order also gives the order of the schema; extra columns stay as strings.
-    A label that is no integer fails the read. As fields may span lines, a file is
-    read by one task: keep a large probe set in several files.
+    Columns are found by name, extra ones stay as strings, and a label that is no integer
+    fails the read; see :func:`~veritally.sources.csv.read_by_name`.
     """
-    try:
-        header = spark.read.options(**csv.READ).csv(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"no probe file at {path}") from error
-        raise
-    require_columns(header, PROBE_COLUMNS, "probe file")
-    schema = StructType(
-        [StructField(c, PROBE_COLUMNS.get(c, StringType())) for c in header.columns]
-    )
-    return spark.read.schema(schema).options(**csv.READ, mode="FAILFAST").csv(path)
+    wanted = StructType([StructField(c, t) for c, t in PROBE_COLUMNS.items()])
+    return csv.read_by_name(spark, path, wanted, "probe file")

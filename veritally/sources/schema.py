@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame
 
 
 def require_columns(df: DataFrame, required: Iterable[str], what: str = "input") -> DataFrame:
-    present = df.columns
+    require_names(df.columns, required, what)
+    return df
+
+
+def require_names(present: Iterable[str], required: Iterable[str], what: str = "input") -> None:
+    present = list(present)
     missing = sorted(set(required) - set(present))
     if missing:
         raise ValueError(f"{what} lacks columns {missing}; it has {present}")
-    return df

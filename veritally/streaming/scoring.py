@@ -82,10 +82,12 @@ def start_scoring_with_rejects(
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         ok = F.col("error_code").isNull()
         batch.persist()  # both tables take from it, and it is scored once
-        kept, rejected = batch.where(ok).drop("error_code"), batch.where(~ok).drop(*RESPONSE)
-        kept.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
-        rejected.write.mode("overwrite").parquet(f"{reject_path}/batch={batch_id}")
-        batch.unpersist()
+        try:
+            kept, rejected = batch.where(ok).drop("error_code"), batch.where(~ok).drop(*RESPONSE)
+            kept.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+            rejected.write.mode("overwrite").parquet(f"{reject_path}/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     writer = scored.writeStream.foreachBatch(write_batch).option(
         "checkpointLocation", checkpoint_path
