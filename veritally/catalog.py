@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from veritally.functions.hashing import hash32
-from veritally.functions.scores import fixture_probability
+from veritally.functions.scores import class_name, fixture_probability, toxic_probability
 from veritally.functions.text import normalize_text
 from veritally.operators import confusion, curves, encode, mistakes, predict, probes, profile
 from veritally.operators import prepare as prep
@@ -26,7 +26,7 @@ from veritally.plans.scoring import PythonScorer, score_texts
 from veritally.session import scratch_path
 from veritally.sinks.reports import slices_document, write_csv, write_json
 from veritally.sources import csv
-from veritally.sources.corpus import load_labelled
+from veritally.sources.corpus import load_labelled, read_splits, read_table
 from veritally.sources.probes import load_probes
 from veritally.streaming.scoring import read_requests, score_stream, start_scoring
 
@@ -93,6 +93,29 @@ def q_load_labelled(spark, sf_dir):
     return corpus(spark, sf_dir, "text", "lang", "source")
 
 
+def q_corpus_csv_round_trip(spark, sf_dir):
+    """The labelled corpus written as CSV, its columns reordered, and read back by name."""
+    path = scratch_path(spark, "corpus_csv")
+    write_csv(corpus(spark, sf_dir, "text", "source").select("toxicity", "source", "text", "doc_id"), path)
+    return read_table(spark, path, "csv", "doc_id long, text string, toxicity int")
+
+
+def q_corpus_json_round_trip(spark, sf_dir):
+    path = scratch_path(spark, "corpus_json")
+    corpus(spark, sf_dir, "text").write.json(path)
+    return read_table(spark, path, "json", "doc_id long, text string, toxicity int")
+
+
+def q_supplied_splits(spark, sf_dir):
+    """A corpus that comes in three tables keeps its splits."""
+    root = scratch_path(spark, "supplied")
+    names = F.element_at(F.array(*[F.lit(n) for n in ("train", "validation", "test")]), F.col("part") + 1)
+    parts = corpus(spark, sf_dir, "text").withColumn("part", (F.col("doc_id") % 3).cast("int"))
+    parts.withColumn("name", names).drop("part").write.partitionBy("name").parquet(root)
+    came = read_splits(spark, {n: f"{root}/name={n}" for n in ("train", "validation", "test")})
+    return split_corpus(came).select("doc_id", "split")
+
+
 def q_probe_load(spark, sf_dir):
     rows = corpus(spark, sf_dir, "text", "lang", "source").select(
         "text",
@@ -365,6 +388,63 @@ def _vowel_scorer() -> PythonScorer:
     return PythonScorer(load)
 
 
+def q_model_score_facts(spark, sf_dir):
+    """What must hold of every scored document, whatever the model has learned."""
+    scored_rows = _scorer(spark, sf_dir)(documents(spark, sf_dir).select("doc_id", "text"))
+    softmax_gap = F.abs(toxic_probability(F.col("logits")) - F.col("toxic_prob"))
+    facts = q_model_score(spark, sf_dir)
+    p, label = F.col("toxic_prob"), F.col("label_id")
+    judged = facts.select(
+        "doc_id",
+        "error_code",
+        "threshold",
+        ((p >= 0) & (p <= 1)).alias("in_range"),
+        (label == (p >= F.col("threshold")).cast("int")).alias("label_follows"),
+        (F.abs(F.col("confidence") - F.when(label == 1, p).otherwise(1 - p)) < 1e-12).alias(
+            "confidence_follows"
+        ),
+        (F.col("label") == class_name(label)).alias("name_follows"),
+    )
+    fits = scored_rows.select("doc_id", (softmax_gap < 1e-9).alias("softmax_fits"))
+    return judged.join(fits, "doc_id")
+
+
+def q_train_classifier_facts(spark, sf_dir):
+    """The candidates tried, and that the first with the best F1 was taken."""
+    candidates = _training(spark, sf_dir)[0].table(spark)
+    place = F.struct("val_f1", (-F.col("reg_param")).alias("minus"))
+    best = candidates.agg(F.max(place).alias("best"), F.count_if("selected").alias("n_selected"))
+    is_best = F.col("reg_param") == -F.col("best.minus")
+    return candidates.crossJoin(F.broadcast(best)).select(
+        "reg_param",
+        "n_selected",
+        F.col("val_f1").between(0, 1).alias("f1_in_range"),
+        (F.col("selected") == is_best).alias("first_best_taken"),
+    )
+
+
+def q_evaluate_facts(spark, sf_dir):
+    """Per threshold the class counts that the trained model's sweep must add up to."""
+    sweep = q_evaluate(spark, sf_dir)
+    before = Window.orderBy("threshold")
+    falls = F.coalesce(F.col("recall") <= F.lag("recall").over(before), F.lit(True))
+    return sweep.select(
+        "threshold",
+        (F.col("tp") + F.col("fn")).alias("n_pos"),
+        (F.col("fp") + F.col("tn")).alias("n_neg"),
+        falls.alias("recall_falls"),
+    )
+
+
+def q_reload_scores(spark, sf_dir):
+    """The saved model scores as the fitted one does."""
+    rows = documents(spark, sf_dir).select("doc_id", "text")
+    fitted = ModelScorer(_training(spark, sf_dir)[0].model)(rows)
+    reloaded = _scorer(spark, sf_dir)(rows).select("doc_id", F.col("toxic_prob").alias("again"))
+    same = F.col("toxic_prob").eqNullSafe(F.col("again"))
+    return fitted.join(reloaded, "doc_id").select("doc_id", same.alias("same_score"))
+
+
 def q_udf_score(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "text")
     rows = score_texts(docs, _vowel_scorer(), threshold=0.35)
@@ -440,6 +520,15 @@ def q_sink_eval_metrics(spark, sf_dir):
     return rows.select("*", "confusion_matrix.*").drop("confusion_matrix")
 
 
+def q_eval_metrics_at_0_3(spark, sf_dir):
+    """Log-odds as logits and a threshold that isn't one half."""
+    inside = scored(spark, sf_dir).where("toxic_prob > 0 AND toxic_prob < 1")
+    p = F.col("toxic_prob")
+    rows = inside.withColumn("logits", F.array(F.lit(0.0), F.log(p / (1 - p))))
+    found = confusion.evaluation_metrics(rows, 0.3)
+    return found.select("confusion_matrix.*", "threshold_used")
+
+
 def q_sink_train_metrics(spark, sf_dir):
     path = scratch_path(spark, "train_metrics")
     rows = prepare_rows(split_labelled(spark, sf_dir, "text"), label="labels")

@@ -232,6 +232,8 @@ _USER_TURNS = "requests AS (SELECT conv_id, turn, text FROM conversations WHERE
 _ERROR = r"""CASE WHEN text IS NULL THEN 'EMPTY' WHEN length(text) > 4096 THEN 'TOO_LONG'
        WHEN regexp_matches(text, '^\s*$') THEN 'EMPTY' END"""
 
+_EMPTY = r"(CASE WHEN text IS NULL OR regexp_matches(text, '^\s*$') THEN 'EMPTY' END)"
+
 _CORE = f"""{_LABELLED}, {_AUC.strip()},
 top AS (
   SELECT count(*) FILTER (WHERE labels = 1 AND toxic_prob > 1 - toxic_prob) AS tp,
@@ -385,6 +387,33 @@ SELECT conv_id, turn, error_code,
   CASE WHEN error_code IS NULL THEN confidence END AS confidence,
   CASE WHEN error_code IS NULL THEN toxic_prob END AS toxic_prob
 FROM answered""",
+    "model_score_facts": f"""SELECT doc_id, {_EMPTY} AS error_code, 0.5::DOUBLE AS threshold,
+  CASE WHEN {_EMPTY} IS NULL THEN TRUE END AS in_range,
+  CASE WHEN {_EMPTY} IS NULL THEN TRUE END AS label_follows,
+  CASE WHEN {_EMPTY} IS NULL THEN TRUE END AS confidence_follows,
+  CASE WHEN {_EMPTY} IS NULL THEN TRUE END AS name_follows, TRUE AS softmax_fits FROM documents""",
+    "train_classifier_facts": """SELECT unnest([0.001::DOUBLE, 0.01::DOUBLE, 0.1::DOUBLE]) AS reg_param,
+  1::BIGINT AS n_selected, TRUE AS f1_in_range, TRUE AS first_best_taken""",
+    "evaluate_facts": f"""{_TEST_SPLIT}
+classes AS (SELECT count(*) FILTER (WHERE labels = 1) AS n_pos,
+  count(*) FILTER (WHERE labels = 0) AS n_neg FROM held_out)
+SELECT g / 10.0::DOUBLE AS threshold, n_pos, n_neg, TRUE AS recall_falls
+FROM classes, range(1, 10) AS grid(g)""",
+    "reload_scores": "SELECT doc_id, TRUE AS same_score FROM documents",
+    "eval_metrics_at_0_3": f"""WITH {_LABELLED},
+inside AS (SELECT * FROM scored WHERE toxic_prob > 0 AND toxic_prob < 1)
+SELECT count(*) FILTER (WHERE labels = 1 AND toxic_prob >= 0.3) AS tp,
+  count(*) FILTER (WHERE labels = 0 AND toxic_prob >= 0.3) AS fp,
+  count(*) FILTER (WHERE labels = 0 AND toxic_prob < 0.3) AS tn,
+  count(*) FILTER (WHERE labels = 1 AND toxic_prob < 0.3) AS fn, 0.3::DOUBLE AS threshold_used
+FROM inside""",
+    "corpus_csv_round_trip": f"""WITH {_LABELLED}
+SELECT doc_id, text, labels AS toxicity FROM labelled""",
+    "corpus_json_round_trip": f"""WITH {_LABELLED}
+SELECT doc_id, text, labels AS toxicity FROM labelled""",
+    "supplied_splits": f"""WITH {_LABELLED}
+SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'train' WHEN 1 THEN 'validation' ELSE 'test' END AS split
+FROM labelled""",
     "sink_eval_metrics": f"""WITH {_CORE}, matrix AS ({_CONFUSION})
 SELECT accuracy, precision, recall, f1, roc_auc, 0.5::DOUBLE AS threshold_used, tp, fp, tn, fn
 FROM core JOIN matrix ON TRUE""",
