@@ -101,7 +101,8 @@ def _windows(text: str, window: int) -> Column:
 
     def one_window(w: Column) -> Column:
         mine = [w[f"l{i}"] for i in range(window)]
-        least = F.least(*[F.struct(m["one"].alias("h"), (-m["i"]).alias("at")) for m in mine])
+        pairs = [F.struct(m["one"].alias("h"), (-m["i"]).alias("at")) for m in mine]
+        least = F.array_min(F.array(*pairs))
         return F.struct(
             least["h"].alias("mark"),
             (-least["at"]).alias("spot"),
