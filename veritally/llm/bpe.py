@@ -3,11 +3,12 @@
 Words are split and counted in Spark. The most frequent ones, a fixed number, are encoded
 once and broadcast. Every other distinct word meets its other places in one partition, is
 encoded once there, and its ids go back to the document and the position. Texts
-themselves are never shuffled: documents travel as compressed ids with holes.
+themselves are never shuffled: documents travel as compressed word codes with holes.
 """
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -20,10 +21,9 @@ from pyspark.sql import functions as F
 
 from veritally.llm.words import Slice, hash_ranges, slices
 
-FREQUENT = 1 << 18
+FREQUENT = 1 << 19
 LONGEST_FREQUENT = 64
-COUNTED_SLICE = 4 << 20
-LEAST_IN_SLICE = 3
+LEAST_IN_SLICE = 2
 
 # How the tokenizer file splits a normalised text.
 _SPLIT = regex.compile(
@@ -60,6 +60,7 @@ class Tokenizer:
     @property
     def library(self):
         if self._opened is None:
+            os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has the cores
             from tokenizers import Tokenizer as Library
 
             self._opened = Library.from_file(self.path)
@@ -154,19 +155,48 @@ def _hash_words(words: list[str]) -> np.ndarray:
 
 @dataclass
 class FrequentWords:
-    """Ids of frequent words: sorted hashes, and per word a range of ``ids``."""
+    """Codes of frequent words, by falling count, and the ids of each code.
+
+    After the words come one code for a hole and one for each special token.
+    """
 
     hashes: np.ndarray
+    codes: np.ndarray
     cuts: np.ndarray
     ids: np.ndarray
+    special: dict[int, int]
 
     @staticmethod
     def of(words: list[str], tokenizer: Tokenizer) -> FrequentWords:
         hashes = _hash_words(words) if words else np.empty(0, np.uint64)
         order = np.argsort(hashes)
-        encoded = tokenizer.encode_words([words[i] for i in order])
-        cuts = np.cumsum([0] + [len(e) for e in encoded])
-        return FrequentWords(hashes[order], cuts, np.array([i for e in encoded for i in e], np.uint32))
+        special = sorted(tokenizer.special.values())
+        encoded = [*tokenizer.encode_words(words), [int(_HOLE)], *([i] for i in special)]
+        return FrequentWords(
+            hashes[order],
+            order,
+            np.cumsum([0] + [len(e) for e in encoded]),
+            np.array([i for e in encoded for i in e], np.uint32),
+            {number: len(words) + 1 + i for i, number in enumerate(special)},
+        )
+
+    @property
+    def hole(self) -> int:
+        return len(self.hashes)
+
+    def lookup(self, hashes: np.ndarray) -> np.ndarray:
+        """The code of each word; the hole for words that aren't frequent."""
+        if len(self.hashes) == 0 or len(hashes) == 0:
+            return np.full(len(hashes), self.hole)
+        different, where = np.unique(hashes, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.hashes, different), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == different, self.codes[at], self.hole)[where]
+
+    def spread(self, codes: np.ndarray) -> np.ndarray:
+        """Ids of a row of codes."""
+        length = self.cuts[codes + 1] - self.cuts[codes]
+        ends = np.cumsum(length)
+        return self.ids[np.repeat(self.cuts[codes] - (ends - length), length) + np.arange(length.sum())]
 
 
 def frequent_words(
@@ -174,8 +204,8 @@ def frequent_words(
 ) -> list[str]:
     """At most ``most`` words by count over all documents, none above 64 bytes.
 
-    A slice of four megabytes passes on what stands there three times or more. That only
-    decides which words are broadcast, never how one is encoded.
+    A slice of a megabyte passes on what stands there twice or more. That only decides which
+    words are broadcast, never how one is encoded.
     """
     counts = docs.select(F.col(text).alias("text")).mapInArrow(
         _count_task(tokenizer), "word string, n long"
@@ -192,11 +222,13 @@ def encode_documents(
     key: str = "doc_id",
     text: str = "text",
     frequent: int = FREQUENT,
+    decode: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs``: key, n_tokens, ids (little-endian unsigned 32-bit).
 
     Ids are those of the library without added special tokens, truncation or padding; the
-    strings of special tokens in a text become their ids. Null and empty texts have no
+    strings of special tokens in a text become their ids. With ``decode`` there is also
+    ``decoded``, as from :func:`decode_documents`, in the same pass. Null and empty texts have no
     tokens. Rows are told apart by key and text, so keys may be null or repeat. Other columns
     are ignored.
     """
@@ -204,26 +236,28 @@ def encode_documents(
     words = frequent_words(docs, tokenizer, text, frequent)
     known = docs.sparkSession.sparkContext.broadcast(FrequentWords.of(words, tokenizer))
     kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(F.col(key).alias("key"), F.hash(text).alias("mark"), F.col(text).alias("text"))
-    ids = rows.mapInArrow(
-        _ids_task(tokenizer, known), f"key {kind}, mark int, n int, n_holes int, packed binary"
+    named = F.coalesce(F.col(key), F.lit(0).cast(kind))
+    rows = docs.select(
+        F.col(key).alias("key"), named.alias("name"), F.hash(text).alias("mark"), F.col(text).alias("text")
     )
-    rare = rows.mapInArrow(
-        _rare_task(tokenizer, known), f"key {kind}, mark int, slot int, word string"
+    codes = rows.mapInArrow(
+        _codes_task(tokenizer, known),
+        f"key {kind}, name {kind}, mark int, n int, n_holes int, packed binary",
+    )
+    rare = rows.select("name", "mark", "text").mapInArrow(
+        _rare_task(tokenizer, known), f"name {kind}, mark int, slot int, word string"
     )
     together = rare.repartition("word").sortWithinPartitions("word")
     encoded = together.mapInArrow(
-        _word_task(tokenizer), f"key {kind}, mark int, slot int, ids binary"
-    )
-    filling = encoded.groupBy("key", "mark").agg(
-        F.collect_list(F.struct("slot", "ids")).alias("filling")
+        _word_task(tokenizer), f"name {kind}, mark int, slot_ids binary"
     )
-    renamed = filling.withColumnsRenamed({"key": "fill_key", "mark": "fill_mark"})
-    on = F.col("key").eqNullSafe(F.col("fill_key")) & (F.col("mark") == F.col("fill_mark"))
+    filling = encoded.groupBy("name", "mark").agg(F.collect_list("slot_ids").alias("filling"))
+    pieces = docs.sparkSession.sparkContext.broadcast(tokenizer.pieces()) if decode else None
+    schema = f"key {kind}, n_tokens long, ids binary" + ", decoded string" * decode
     return (
-        ids.join(renamed.hint("merge"), on, "left")
+        codes.join(filling.hint("merge"), ["name", "mark"], "left")
         .select("key", "n", "n_holes", "packed", "filling")
-        .mapInArrow(_fill_task(), f"key {kind}, n_tokens long, ids binary")
+        .mapInArrow(_fill_task(known, pieces), schema)
         .withColumnRenamed("key", key)
     )
 
@@ -250,7 +284,7 @@ def _column(batch: pa.RecordBatch, name: str) -> pa.Array:
 def _count_task(tokenizer: Tokenizer):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(_column(batch, "text"), COUNTED_SLICE):
+            for part in slices(_column(batch, "text")):
                 found = split_slice(part, tokenizer)
                 _, first, n = np.unique(found.hashes, return_index=True, return_counts=True)
                 short = found.ends[first] - found.starts[first] <= LONGEST_FREQUENT
@@ -271,22 +305,13 @@ def _count_task(tokenizer: Tokenizer):
     return task
 
 
-def _lookup(hashes: np.ndarray, known: FrequentWords) -> tuple[np.ndarray, np.ndarray]:
-    """Position in the frequent words, and whether the word is one of them."""
-    if len(known.hashes) == 0:
-        return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
-    different, where = np.unique(hashes, return_inverse=True)
-    at = np.minimum(np.searchsorted(known.hashes, different), len(known.hashes) - 1)
-    return at[where], (known.hashes[at] == different)[where]
-
-
 def _rare_of(found: Split, i: int, rare: np.ndarray, known: FrequentWords) -> tuple[dict[str, int], list[int]]:
     """Rare words of one text with their slots, and the slot of each place in turn."""
     slots: dict[str, int] = {}
     if i in found.slow:
         words = [w for w in found.slow[i] if isinstance(w, str)]
-        hit = _lookup(_hash_words(words), known)[1] if words else []
-        turn = [slots.setdefault(w, len(slots)) for w, h in zip(words, hit) if not h]
+        codes = known.lookup(_hash_words(words)) if words else []
+        turn = [slots.setdefault(w, len(slots)) for w, c in zip(words, codes) if c == known.hole]
     else:
         data, starts, ends = found.data, found.starts, found.ends
         a, b = np.searchsorted(rare, found.edges[i : i + 2])
@@ -304,10 +329,10 @@ def _rare_of(found: Split, i: int, rare: np.ndarray, known: FrequentWords) -> tu
 def _rare_task(tokenizer: Tokenizer, known):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, marks = _column(batch, "key"), _column(batch, "mark")
+            names, marks = _column(batch, "name"), _column(batch, "mark")
             for part in slices(_column(batch, "text")):
                 found = split_slice(part, tokenizer)
-                rare = np.flatnonzero(~_lookup(found.hashes, known.value)[1])
+                rare = np.flatnonzero(known.value.lookup(found.hashes) == known.value.hole)
                 words, slots, rows = [], [], []
                 for i, row in enumerate(part.rows):
                     mine = _rare_of(found, i, rare, known.value)[0]
@@ -316,7 +341,7 @@ def _rare_task(tokenizer: Tokenizer, known):
                     rows += [row] * len(mine)
                 yield pa.record_batch(
                     {
-                        "key": keys.take(pa.array(rows, pa.int64())),
+                        "name": names.take(pa.array(rows, pa.int64())),
                         "mark": marks.take(pa.array(rows, pa.int64())),
                         "slot": pa.array(slots, pa.int32()),
                         "word": pa.array(words, pa.string()),
@@ -326,33 +351,32 @@ def _rare_task(tokenizer: Tokenizer, known):
     return task
 
 
-def _ids_task(tokenizer: Tokenizer, known):
-    """Ids of frequent words; a hole and the slot for each other word."""
+def _codes_task(tokenizer: Tokenizer, known):
+    """Codes of frequent words; a hole and the slot for each other word."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = known.value
         for batch in batches:
-            keys, marks = _column(batch, "key"), _column(batch, "mark")
+            names = ["key", "name", "mark"]
             for part in slices(_column(batch, "text")):
+                mine_rows = batch.slice(part.rows.start, len(part.rows))
                 found = split_slice(part, tokenizer)
-                at, hit = _lookup(found.hashes, known.value)
-                rare = np.flatnonzero(~hit)
-                ids, ends = _spread(at, hit, known.value)
-                edges = ends[found.edges]
+                codes = table.lookup(found.hashes)
+                rare = np.flatnonzero(codes == table.hole)
                 n, holes, packed = [], [], []
                 for i in range(len(part.rows)):
-                    turn = _rare_of(found, i, rare, known.value)[1]
+                    turn = _rare_of(found, i, rare, table)[1]
                     mine = (
-                        _slow_ids(found.slow[i], known.value)
+                        _slow_codes(found.slow[i], table)
                         if i in found.slow
-                        else ids[edges[i] : edges[i + 1]]
+                        else codes[found.edges[i] : found.edges[i + 1]]
                     )
                     n.append(len(mine))
                     holes.append(len(turn))
                     packed.append(_pack(mine, turn))
                 yield pa.record_batch(
-                    {
-                        "key": keys.slice(part.rows.start, len(part.rows)),
-                        "mark": marks.slice(part.rows.start, len(part.rows)),
+                    {name: _column(mine_rows, name) for name in names}
+                    | {
                         "n": pa.array(n, pa.int32()),
                         "n_holes": pa.array(holes, pa.int32()),
                         "packed": pa.array(packed, pa.binary()),
@@ -362,52 +386,36 @@ def _ids_task(tokenizer: Tokenizer, known):
     return task
 
 
-def _spread(at: np.ndarray, hit: np.ndarray, known: FrequentWords) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of a row of words, a hole for each rare one; where the ids of each word begin."""
-    if len(known.hashes):
-        length = np.where(hit, known.cuts[at + 1] - known.cuts[at], 1)
-        begin = np.where(hit, known.cuts[at], 0)
-    else:
-        length, begin = np.ones(len(at), np.int64), at
-    ends = np.r_[0, np.cumsum(length)]
-    index = np.repeat(begin - ends[:-1], length) + np.arange(ends[-1])
-    ids = known.ids[index] if len(known.ids) else np.zeros(len(index), np.uint32)
-    ids[ends[:-1][~hit]] = _HOLE
-    return ids, ends
-
-
-def _slow_ids(words: list[str | int], known: FrequentWords) -> np.ndarray:
+def _slow_codes(words: list[str | int], known: FrequentWords) -> np.ndarray:
     plain = [w for w in words if isinstance(w, str)]
-    at, hit = _lookup(_hash_words(plain), known) if plain else (np.empty(0, np.int64), np.empty(0, bool))
-    ids, ends = _spread(at, hit, known)
-    special = [(i, w) for i, w in enumerate(words) if not isinstance(w, str)]
-    before = [i - j for j, (i, _) in enumerate(special)]
-    return np.insert(ids, ends[before], [w for _, w in special]) if special else ids
+    codes = iter(known.lookup(_hash_words(plain)) if plain else ())
+    return np.array([next(codes) if isinstance(w, str) else known.special[w] for w in words], np.int64)
 
 
-def _pack(ids: np.ndarray, turn: list[int]) -> bytes:
-    """One byte for the width of an id, then ids and slots, compressed."""
-    wide = ids[ids != _HOLE].max(initial=0) >= 0xFFFF
-    body = ids.astype(np.uint32 if wide else np.uint16).tobytes()
-    body += np.array(turn, np.uint32).tobytes()
-    return bytes([4 if wide else 2]) + pa.compress(body, codec="zstd", asbytes=True)
+def _pack(codes: np.ndarray, turn: list[int]) -> bytes:
+    """Codes and slots, each split into planes of bytes, compressed."""
+    planes = [
+        np.asarray(values, "<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for values in (codes, turn)
+    ]
+    return pa.compress(b"".join(planes), codec="zstd", asbytes=True)
 
 
 def _unpack(packed: bytes, n: int, holes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids with holes, and the slots of the holes in turn."""
-    width = packed[0]
-    size = width * n + 4 * holes
-    if size == 0:
-        return np.empty(0, np.uint32), np.empty(0, np.uint32)
-    body = pa.decompress(packed[1:], decompressed_size=size, codec="zstd", asbytes=True)
-    ids = np.frombuffer(body, np.uint32 if width == 4 else np.uint16, n)
-    if width == 2:
-        ids = np.where(ids == 0xFFFF, _HOLE, ids.astype(np.uint32))
-    return ids, np.frombuffer(body, np.uint32, holes, width * n)
+    """Codes, and the slots of the holes in turn."""
+    if n == 0:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    body = pa.decompress(packed, decompressed_size=4 * (n + holes), codec="zstd", asbytes=True)
+    planes = np.frombuffer(body, np.uint8)
+    parts = planes[: 4 * n].reshape(4, n), planes[4 * n :].reshape(4, holes)
+    codes, turn = (np.ascontiguousarray(p.T).view("<u4")[:, 0].astype(np.int64) for p in parts)
+    return codes, turn
 
 
 def _word_task(tokenizer: Tokenizer):
-    """Rows come sorted by word: each distinct one is encoded once, in its first batch."""
+    """Rows come sorted by word: each distinct one is encoded once, in its first batch.
+
+    Slot and ids leave as one value of 32-bit numbers.
+    """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_word, last_ids = None, b""
@@ -420,60 +428,65 @@ def _word_task(tokenizer: Tokenizer):
             }
             if last_word is not None:
                 ids.setdefault(last_word, last_ids)
-            table = pa.array([ids[w] for w in words], pa.binary())
             if words:
                 last_word, last_ids = words[-1], ids[words[-1]]
+            slots = _column(batch, "slot").to_numpy().astype("<u4")
+            values = [s.tobytes() + ids[words[i]] for s, i in zip(slots, column.indices.to_pylist())]
             yield pa.record_batch(
                 {
-                    "key": _column(batch, "key"),
+                    "name": _column(batch, "name"),
                     "mark": _column(batch, "mark"),
-                    "slot": _column(batch, "slot"),
-                    "ids": table.take(column.indices),
+                    "slot_ids": pa.array(values, pa.binary()),
                 }
             )
 
     return task
 
 
-def _fill_task():
+def _fill_task(known, pieces):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, holes = _column(batch, "n").to_pylist(), _column(batch, "n_holes").to_pylist()
-            for at in range(0, len(n), 256):
-                rows = range(at, min(at + 256, len(n)))
-                packed = _column(batch, "packed").slice(at, len(rows)).to_pylist()
-                filling = _column(batch, "filling").slice(at, len(rows))
+            for at in range(0, batch.num_rows, 128):
+                rows = batch.slice(at, 128)
+                names = ["n", "n_holes", "packed"]
+                n, holes, packed = (_column(rows, name).to_pylist() for name in names)
+                filling = _column(rows, "filling")
                 full = [
-                    _fill(*_unpack(packed[i], n[row], holes[row]), filling[i])
-                    for i, row in enumerate(rows)
+                    _fill(*_unpack(packed[i], n[i], holes[i]), filling[i], known.value)
+                    for i in range(len(n))
                 ]
-                yield pa.record_batch(
-                    {
-                        "key": _column(batch, "key").slice(at, len(rows)),
-                        "n_tokens": pa.array([len(f) for f in full], pa.int64()),
-                        "ids": pa.array([f.astype("<u4").tobytes() for f in full], pa.binary()),
-                    }
-                )
+                columns = {
+                    "key": _column(rows, "key"),
+                    "n_tokens": pa.array([len(f) for f in full], pa.int64()),
+                    "ids": pa.array([f.astype("<u4").tobytes() for f in full], pa.binary()),
+                }
+                if pieces is not None:
+                    decoded = [_join_pieces(f, pieces.value) for f in full]
+                    columns["decoded"] = pa.array(decoded, pa.string())
+                yield pa.record_batch(columns)
 
     return task
 
 
-def _fill(ids: np.ndarray, turn: np.ndarray, filling: pa.Scalar) -> np.ndarray:
-    """Put the ids of rare words where their holes are."""
+def _fill(codes: np.ndarray, turn: np.ndarray, filling: pa.Scalar, known: FrequentWords) -> np.ndarray:
+    """Ids of all codes, with the ids of rare words where their holes are."""
+    ids = known.spread(codes)
     if len(turn) == 0:
         return ids
-    slots = filling.values.field(0).to_numpy()
-    words = [np.frombuffer(b, "<u4") for b in filling.values.field(1).to_pylist()]
-    by_slot = dict(zip(slots.tolist(), words))
+    words = [np.frombuffer(value, "<u4") for value in filling.as_py()]
+    by_slot = {int(word[0]): word[1:] for word in words}
     rare = [by_slot[s] for s in turn.tolist()]
     lengths = np.ones(len(ids), np.int64)
-    holes = np.flatnonzero(ids == _HOLE)
-    lengths[holes] = [len(r) for r in rare]
+    lengths[ids == _HOLE] = [len(r) for r in rare]
     full = np.repeat(ids, lengths)
     full[full == _HOLE] = np.concatenate(rare)
     return full
 
 
+def _join_pieces(ids: np.ndarray, pieces: list[str]) -> str:
+    return " ".join([pieces[i] for i in ids.tolist()])
+
+
 def _piece_task(pieces, ids: str):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -481,9 +494,7 @@ def _piece_task(pieces, ids: str):
             for at in range(0, batch.num_rows, 256):
                 rows = batch.slice(at, 256)
                 decoded = [
-                    None
-                    if packed is None
-                    else " ".join([table[i] for i in np.frombuffer(packed, "<u4").tolist()])
+                    None if packed is None else _join_pieces(np.frombuffer(packed, "<u4"), table)
                     for packed in _column(rows, ids).to_pylist()
                 ]
                 columns = [*rows.columns, pa.array(decoded, pa.string())]
