@@ -7,6 +7,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from veritally.operators import confusion
 from veritally.operators import curves as C
 
 
@@ -121,3 +122,12 @@ def test_curves_of_nothing(scored):
     assert running.count() == 0
     assert rows(C.average_precision(running)) == [{"average_precision": None}]
     assert rows(C.pr_curve(running)) == [{"threshold": None, "precision": 1.0, "recall": 0.0}]
+
+
+def test_metrics_from_running_counts_are_the_same(scored):
+    random.seed(9)
+    pairs = [(int(random.random() < 0.4), round(random.random(), 2)) for _ in range(400)]
+    for more in ([], [(1, None)], [(0, float("nan"))]):
+        df = scored(pairs + more)
+        got = confusion.metrics_with_running_counts(df, C.running_counts(df), 0.3, logits=None)
+        assert rows(got) == rows(confusion.evaluation_metrics(df, 0.3, logits=None))

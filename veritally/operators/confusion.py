@@ -20,7 +20,7 @@ from veritally.functions.scores import (
     is_defined,
     toxic_probability,
 )
-from veritally.operators.curves import auc_of_counts, score_counts
+from veritally.operators.curves import auc_of_counts, auc_of_running, score_counts
 from veritally.sources.schema import require_columns
 
 # The default thresholds and floors, and the names that reports carry.
@@ -234,7 +234,39 @@ def evaluation_metrics(
     else:
         p = F.col(prob) if prob in df.columns else toxic_probability(F.col(logits))
         argmax = argmax_label(F.col(logits))
-    summary, auc = _summary(df, label, p, argmax, threshold)
+    return _metrics_row(*_summary(df, label, p, argmax, threshold), threshold)
+
+
+def metrics_with_running_counts(
+    df: DataFrame,
+    running: DataFrame,
+    threshold: float = DEFAULT_THRESHOLD,
+    label: str = "labels",
+    logits: str | None = "logits",
+    prob: str = "toxic_prob",
+) -> DataFrame:
+    """:func:`evaluation_metrics` of rows whose running counts are there already.
+
+    The AUC is then a plain sum over the distinct scores, and the rows aren't grouped again.
+    """
+    require_columns(df, [label, prob])
+    y, p = F.col(label), F.col(prob)
+    top = (at_least(p, 0.5) & (p != 0.5)).cast("int") if logits is None else argmax_label(F.col(logits))
+    hit = decide(p, threshold)
+    counts = df.agg(
+        F.count_if(y == 1).alias("n_pos"),
+        F.count_if(y == 0).alias("n_neg"),
+        F.count_if(~F.coalesce(is_defined(p), F.lit(False))).alias("undefined"),
+        F.count_if((y == 1) & (top == 1)).alias("top_tp"),
+        F.count_if((y == 0) & (top == 1)).alias("top_fp"),
+        F.count_if((y == 1) & (hit == 1)).alias("hit_tp"),
+        F.count_if((y == 0) & (hit == 1)).alias("hit_fp"),
+    )
+    pairs, auc = auc_of_running(running)
+    return _metrics_row(counts.crossJoin(pairs), auc, threshold)  # one row each
+
+
+def _metrics_row(summary: DataFrame, auc: Column, threshold: float) -> DataFrame:
     tp, fp = F.col("top_tp"), F.col("top_fp")
     fn, tn = F.col("n_pos") - tp, F.col("n_neg") - fp
     return summary.select(

@@ -85,6 +85,18 @@ def auc_of_counts(counts: DataFrame) -> tuple[DataFrame, Column]:
     return summary, auc
 
 
+def auc_of_running(running: DataFrame) -> tuple[DataFrame, Column]:
+    """One row with ``pairs``, and the AUC over it and the columns n_pos, n_neg, undefined.
+
+    ``fp`` of a score counts the negatives there and above, so the rest lie below.
+    """
+    below = F.col("n_neg") - F.col("fp")
+    won = F.col("pos").cast(_WIDE) * (2 * below + F.col("neg")).cast(_WIDE)
+    total = 2 * F.col("n_pos").cast(_WIDE) * F.col("n_neg").cast(_WIDE)
+    auc = F.when(F.col("undefined") == 0, ratio_or_null(F.col("pairs"), total))
+    return running.agg(F.sum(won).alias("pairs")), auc
+
+
 def roc_auc(scored: DataFrame, label: str = "labels", prob: str = "toxic_prob") -> DataFrame:
     """ROC-AUC with half credit for ties; null for one class or an undefined score."""
     summary, auc = auc_of_counts(score_counts(scored, label, prob))

@@ -12,7 +12,7 @@ from veritally.functions.scores import DEFAULT_THRESHOLD
 from veritally.operators.confusion import (
     DEFAULT_GRID,
     METRIC_COLUMNS,
-    evaluation_metrics,
+    metrics_with_running_counts,
     operating_point_row,
     sweep_by_position,
 )
@@ -80,7 +80,7 @@ def evaluate(
     }
     metrics, sweep, summary, slices, mistakes, roc, pr, ap = reports.values()
     logits = "logits" if "logits" in table.columns else None
-    write_json(evaluation_metrics(table, threshold, logits=logits), metrics)
+    write_json(metrics_with_running_counts(table, running, threshold, logits=logits), metrics)
     points = sweep_by_position(table, grid).persist()  # as many rows as thresholds
     try:
         in_order = points.orderBy("grid_pos").coalesce(1)
