@@ -4,7 +4,8 @@ Shingles of five words, weighted by how often a text has them, arrive as Poisson
 whose rates are the weights. Each register keeps the shingle that arrives first, and a text
 stops once no arrival can still win a register. Two registers agree with the
 probability Jaccard similarity of the texts. Texts that agree on a band of registers
-are compared exactly, each with the most central text of the bucket.
+are compared exactly: each with the most central text of its bucket, and where that leaves
+it apart, with the other texts around that centre.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 24
 ROWS = 5
-PAIRS_PER_ROW = 8
+BLOCK_ROWS = 256
 
 _U = np.uint64
 
@@ -73,91 +74,72 @@ def _links(texts: DataFrame, places: DataFrame, shingle: int, similarity: float)
     """Verified links between rows that share a bucket: a, b, similarity.
 
     A bucket's hub is its most central row, the one with most company in all of its
-    buckets. Rows that a hub doesn't reach are compared with all rows of their bucket that
-    aren't in their component yet. While that would be more than ``PAIRS_PER_ROW`` times
-    the rows in buckets, another round of hubs goes before; each settles a row per bucket.
+    buckets, and every row is compared with the hubs of its buckets. Rows that end up in another
+    component than their hub are then compared with all rows around that hub, block by
+    block, so no link between components is lost and no group meets in one task.
     """
     places = store_table(places, "bucket_rows")
     sizes = places.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     company = places.join(sizes.hint("merge"), "bucket")
-    central = company.groupBy("row").agg(F.sum("n").alias("company"))
-    company = store_table(
-        company.select("bucket", "row").join(central.hint("merge"), "row"), "bucket_company"
+    central = store_table(company.groupBy("row").agg(F.sum("n").alias("company")), "bucket_company")
+    company = company.select("bucket", "row").join(central.hint("merge"), "row")
+    best = F.max(F.struct("company", (-F.col("row")).alias("minus")))
+    hubs = company.groupBy("bucket").agg((-best["minus"]).alias("hub"))
+    around = company.select("bucket", "row").join(hubs.hint("merge"), "bucket")
+    stars = store_table(around.where("row <> hub").select("hub", "row").distinct(), "stars")
+    cut = texts.join(central.select("row").hint("merge"), "row").mapInArrow(
+        _shingle_task(shingle), "row long, shingles binary, counts binary"
     )
-    total = company.count()
-    hub = F.max(F.struct("company", (-F.col("row")).alias("minus")))
-    hubs = company.groupBy("bucket").agg((-hub["minus"]).alias("hub"))
-    pairs = _pairs(company.join(hubs.hint("merge"), "bucket"), "row", "hub")
-    compared = store_table(verified(pairs, texts, shingle), "compared")
-    used = None
-    while True:
-        links = compared.where(F.col("similarity") >= similarity)
-        found = connected_components(links).withColumnsRenamed({"node": "row"})
-        here = company.join(found.hint("merge"), "row", "left").withColumn(
-            "component", F.coalesce("component", "row")
-        )
-        spread = here.groupBy("bucket").agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("component").alias("least"),
-            F.max("component").alias("most"),
-            hub.alias("best"),
-        )
-        split = spread.where("least <> most").select("bucket", "n", "best")
-        open_rows = here.join(split.hint("merge"), "bucket")
-        main = store_table(
-            open_rows.join(
-                open_rows.where(F.col("row") == -F.col("best.minus")).select(
-                    "bucket", F.col("component").alias("main")
-                ),
-                "bucket",
-            ).select("bucket", "row", "component", "company", "main", "n"),
-            "open_buckets",
-        )
-        loose = main.where("component <> main")
-        if used is not None:
-            loose = loose.join(used, ["bucket", "row"], "left_anti")
-        work = loose.agg(F.sum("n")).first()[0]
-        if not work:
-            return links
-        last = work <= PAIRS_PER_ROW * max(total, 1000)
-        probe = loose.select("bucket", F.col("row").alias("probe"), F.col("component").alias("own"))
-        if not last:
-            best = loose.groupBy("bucket").agg((-hub["minus"]).alias("probe"))
-            probe = probe.join(best, ["bucket", "probe"])
-        partners = main.select("bucket", "row", "component").join(probe.hint("merge"), "bucket")
-        pairs = _pairs(partners.where("component <> own"), "row", "probe")
-        fresh = pairs.join(compared.select("a", "b").hint("merge"), ["a", "b"], "left_anti")
-        compared = store_table(
-            compared.unionByName(verified(fresh, texts, shingle)), "compared"
-        )
-        if last:
-            return compared.where(F.col("similarity") >= similarity)
-        gone = probe.select("bucket", F.col("probe").alias("row"))
-        used = store_table(gone if used is None else used.unionByName(gone), "used_hubs")
-
-
-def _pairs(rows: DataFrame, one: str, other: str) -> DataFrame:
-    pair = rows.where(F.col(one) != F.col(other))
-    return pair.select(
-        F.least(one, other).alias("a"), F.greatest(one, other).alias("b")
-    ).distinct()
+    sets = store_table(cut.dropDuplicates(["row"]), "shingles")
+    ours = sets.toDF("row", "b_shingles", "b_counts")
+    theirs = sets.toDF("hub", "a_shingles", "a_counts")
+    full = stars.join(ours.hint("merge"), "row").join(theirs.hint("merge"), "hub")
+    compared = full.withColumnsRenamed({"hub": "a", "row": "b"}).mapInArrow(
+        _similarity_task, "a long, b long, similarity double"
+    )
+    links = store_table(compared.where(F.col("similarity") >= similarity), "star_links")
+    return links.unionByName(_links_around(stars, links, sets, similarity))
 
 
-def verified(pairs: DataFrame, texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``pairs`` (a, b) with the exact probability Jaccard similarity of their texts.
+def _links_around(stars: DataFrame, links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links between rows apart from their hub and the other rows around it.
 
-    Only rows that stand in a pair are cut into shingles.
+    Rows go to blocks of about ``BLOCK_ROWS``, and each pair of blocks is one group.
     """
-    pairs = store_table(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("row")).unionAll(pairs.select("b")).distinct()
-    cut = texts.join(wanted.hint("merge"), "row").mapInArrow(
-        _shingle_task(shingle), "row long, shingles binary, counts binary"
+    found = connected_components(links)
+    mine = found.toDF("row", "component")
+    hubs = found.toDF("hub", "main")
+    named = (
+        stars.join(mine.hint("merge"), "row", "left")
+        .join(hubs.hint("merge"), "hub", "left")
+        .select("hub", "row", F.coalesce("component", "row").alias("component"), F.coalesce("main", "hub").alias("main"))
+    )
+    named = store_table(named, "star_components")
+    apart = F.col("component") != F.col("main")
+    counts = named.groupBy("hub").agg(F.count_if(apart).alias("n_apart"), F.count(F.lit(1)).alias("n"))
+    plan = counts.where("n_apart > 0 AND n > 1").select(
+        "hub",
+        F.ceil(F.col("n_apart") / BLOCK_ROWS).alias("rows_of_blocks"),
+        F.ceil(F.col("n") / BLOCK_ROWS).alias("columns_of_blocks"),
+    )
+    spread = named.join(plan.hint("merge"), "hub").join(sets.hint("merge"), "row")
+    place = ["hub", "i", "j"]
+    columns = [*place, "row", "component", "shingles", "counts"]
+
+    def dealt(rows: DataFrame, own: str, own_blocks: str, other: str, other_blocks: str) -> DataFrame:
+        block = F.pmod(F.xxhash64("row"), F.col(own_blocks))
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(other_blocks) - 1))
+        return rows.withColumn(own, block).withColumn(other, every).select(*columns)
+
+    probes = dealt(spread.where(apart), "i", "rows_of_blocks", "j", "columns_of_blocks")
+    others = dealt(spread, "j", "columns_of_blocks", "i", "rows_of_blocks")
+    # Both sides come from one table: new columns tell them apart.
+    others = others.toDF(*[f"other_{c}" for c in columns]).toDF(*columns)
+    return (
+        probes.groupBy(*place)
+        .cogroup(others.groupBy(*place))
+        .applyInArrow(_block_task(similarity), "a long, b long, similarity double")
     )
-    sets = store_table(cut.dropDuplicates(["row"]), "shingles")
-    one = sets.toDF("a", "a_shingles", "a_counts")
-    other = sets.toDF("b", "b_shingles", "b_counts")
-    full = pairs.join(one.hint("merge"), "a").join(other.hint("merge"), "b")
-    return full.mapInArrow(_similarity_task, "a long, b long, similarity double")
 
 
 # Tasks --------------------------------------------------------------------------
@@ -259,6 +241,52 @@ def _shingle_task(shingle: int):
     return task
 
 
+def _block_task(similarity: float):
+    """Links between two blocks of rows; of a row, one link to each other component at most.
+
+    For one row at a time, the sums of minima and of maxima over common shingles are taken for
+    the whole other block. They bound the similarity from above, so it is worked out for few.
+    """
+
+    def compare(probes: pa.Table, others: pa.Table) -> pa.Table:
+        links: list[tuple[int, int, float]] = []
+        if probes.num_rows and others.num_rows:
+            sets, weights = _unpacked(others)
+            cuts = np.cumsum([0] + [len(x) for x in sets])
+            every, ids = np.unique(np.concatenate(sets), return_inverse=True)
+            counts = np.concatenate(weights).astype(float)
+            totals = np.add.reduceat(counts, cuts[:-1])
+            keys, components = others["row"].to_pylist(), others["component"].to_numpy()
+            mine = zip(probes["row"].to_pylist(), probes["component"].to_pylist(), *_unpacked(probes))
+            for row, component, elements, own in mine:
+                dense = np.zeros(len(every))
+                at = np.minimum(np.searchsorted(every, elements), len(every) - 1)
+                known = every[at] == elements
+                dense[at[known]] = own[known]
+                here = dense[ids]
+                low = np.add.reduceat(np.minimum(here, counts), cuts[:-1])
+                high = np.add.reduceat(np.where(here > 0, np.maximum(here, counts), 0), cuts[:-1])
+                bound = high / (own.sum() + totals - low)
+                done = {component}
+                for k in np.flatnonzero(bound >= similarity - 1e-9):
+                    if components[k] not in done:
+                        value = probability_jaccard(elements, own, sets[k], weights[k])
+                        if value >= similarity:
+                            done.add(components[k])
+                            links.append((row, keys[k], value))
+        a, b, value = zip(*links) if links else ((), (), ())
+        return pa.table(
+            {"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "similarity": pa.array(value, pa.float64())}
+        )
+
+    return compare
+
+
+def _unpacked(rows: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    sets = [np.frombuffer(x.as_buffer(), _U) for x in rows["shingles"]]
+    return sets, [np.frombuffer(x.as_buffer(), np.uint32) for x in rows["counts"]]
+
+
 def _similarity_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         names = ["a_shingles", "a_counts", "b_shingles", "b_counts"]
