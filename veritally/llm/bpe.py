@@ -15,7 +15,6 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,12 +24,6 @@ FREQUENT = 1 << 19
 LONGEST_FREQUENT = 64
 LEAST_IN_SLICE = 2
 
-# How the tokenizer file splits a normalised text.
-_SPLIT = regex.compile(
-    r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^"
-    r"\t-\r \x85\xa0  -     　\p{L}\p{N}]+"
-)
-
 # Byte classes of the fast path: ASCII and the letters of U+00C0..U+00FF.
 _BLANK, _LETTER, _DIGIT, _OTHER = range(4)
 _CLASS = np.full(256, _OTHER, np.uint8)
@@ -77,7 +70,7 @@ class Tokenizer:
         return [e.ids for e in self.library.encode_batch(words, add_special_tokens=False)]
 
     def split(self, text: str) -> list[str | int]:
-        """Words of any text, in the library's own normal form; special tokens as ids."""
+        """Words of any text, as the library itself splits it; special tokens as ids."""
         special = self.special
         parts = re.split("(" + "|".join(map(re.escape, special)) + ")", text) if special else [text]
         found: list[str | int] = []
@@ -85,7 +78,9 @@ class Tokenizer:
             if i % 2:
                 found.append(special[part])
             elif part:
-                found += _SPLIT.findall(self.library.normalizer.normalize_str(part))
+                plain = self.library.normalizer.normalize_str(part)
+                places = self.library.pre_tokenizer.pre_tokenize_str(plain)
+                found += [plain[a:b] for _, (a, b) in places]
         return found
 
     def pieces(self) -> list[str]:
@@ -118,7 +113,7 @@ def split_slice(part: Slice, tokenizer: Tokenizer) -> Split:
     """Split all texts of a slice at once where bytes tell the classes of characters.
 
     A text with an apostrophe, a special token, or a character outside ASCII and the letters
-    up to U+00FF goes the slow way, through the library's normal form and a pattern.
+    up to U+00FF goes the slow way: the library normalises and splits it.
     """
     raw, edges = part.data, part.edges
     after = np.r_[np.uint8(0), raw[:-1]] if len(raw) else raw
