@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -162,17 +163,19 @@ class FrequentWords:
     special: dict[int, int]
 
     @staticmethod
-    def of(words: list[str], tokenizer: Tokenizer) -> FrequentWords:
-        hashes = _hash_words(words) if words else np.empty(0, np.uint64)
+    def of(encoded: pa.Table, tokenizer: Tokenizer) -> FrequentWords:
+        """From the rows of :func:`frequent_words`."""
+        hashes = encoded["hash"].to_numpy().view(np.uint64)
         order = np.argsort(hashes)
         special = sorted(tokenizer.special.values())
-        encoded = [*tokenizer.encode_words(words), [int(_HOLE)], *([i] for i in special)]
+        length = pc.binary_length(encoded["ids"]).to_numpy() // 4
+        ids = np.frombuffer(b"".join(encoded["ids"].to_pylist()), "<u4")
         return FrequentWords(
             hashes[order],
             order,
-            np.cumsum([0] + [len(e) for e in encoded]),
-            np.array([i for e in encoded for i in e], np.uint32),
-            {number: len(words) + 1 + i for i, number in enumerate(special)},
+            np.cumsum(np.r_[0, length, np.ones(1 + len(special), np.int64)]),
+            np.r_[ids, _HOLE, special].astype(np.uint32),
+            {number: len(hashes) + 1 + i for i, number in enumerate(special)},
         )
 
     @property
@@ -196,8 +199,11 @@ class FrequentWords:
 
 def frequent_words(
     docs: DataFrame, tokenizer: Tokenizer, text: str = "text", most: int = FREQUENT
-) -> list[str]:
-    """At most ``most`` words by count over all documents, none above 64 bytes.
+) -> DataFrame:
+    """Hash and ids of at most ``most`` words, by falling count over all documents.
+
+    Words above 64 bytes are left out, so the table has a bound on its size. It is encoded in a
+    task; what the driver takes to broadcast are hashes and ids.
 
     A slice of a megabyte passes on what stands there twice or more. That only decides which
     words are broadcast, never how one is encoded.
@@ -206,8 +212,8 @@ def frequent_words(
         _count_task(tokenizer), "word string, n long"
     )
     totals = counts.groupBy("word").agg(F.sum("n").alias("n"))
-    top = totals.orderBy(F.col("n").desc(), "word").limit(most)
-    return [r.word for r in top.select("word").collect()]
+    top = totals.orderBy(F.col("n").desc(), "word").limit(most).select("word")
+    return top.mapInArrow(_frequent_task(tokenizer), "hash long, ids binary")
 
 
 def encode_documents(
@@ -228,8 +234,9 @@ def encode_documents(
     are ignored.
     """
     tokenizer = Tokenizer(tokenizer_path)
-    words = frequent_words(docs, tokenizer, text, frequent)
-    known = docs.sparkSession.sparkContext.broadcast(FrequentWords.of(words, tokenizer))
+    top = frequent_words(docs, tokenizer, text, frequent).toArrow()
+    known = docs.sparkSession.sparkContext.broadcast(FrequentWords.of(top, tokenizer))
+    del top
     kind = docs.schema[key].dataType.simpleString()
     named = F.coalesce(F.col(key), F.lit(0).cast(kind))
     rows = docs.select(
@@ -300,6 +307,17 @@ def _count_task(tokenizer: Tokenizer):
     return task
 
 
+def _frequent_task(tokenizer: Tokenizer):
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = batch.column(0).to_pylist()
+            ids = [np.array(e, "<u4").tobytes() for e in tokenizer.encode_words(words)]
+            hashes = _hash_words(words).view(np.int64) if words else np.empty(0, np.int64)
+            yield pa.record_batch({"hash": pa.array(hashes), "ids": pa.array(ids, pa.binary())})
+
+    return task
+
+
 def _rare_of(found: Split, i: int, rare: np.ndarray, known: FrequentWords) -> tuple[dict[str, int], list[int]]:
     """Rare words of one text with their slots, and the slot of each place in turn."""
     slots: dict[str, int] = {}
