@@ -14,6 +14,7 @@ LEAST_SCORE = 0.3
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language; texts without letters go, and those nobody can tell."""
+    queries.let_workers_import(spark)
     found = language.identify(docs, language.train_on(docs), keep=True)
     known = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
     return found.where(known).select("row.*")
@@ -37,6 +38,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each class."""
+    queries.let_workers_import(spark)
     classes = neardup.near_duplicate_classes(docs)
     kept = classes.where("doc_id IS NULL OR doc_id = class_id").select("doc_id").distinct()
     first = kept.withColumnRenamed("doc_id", "kept_id").hint("merge")
@@ -51,6 +53,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and of the decoded text."""
+    queries.let_workers_import(spark)
     encoded = bpe.encode_documents(docs, queries.tokenizer_path(), decode=True)
     return encoded.select(
         "doc_id",

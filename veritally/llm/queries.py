@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import importlib
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +13,16 @@ from pyspark.sql import functions as F
 from veritally.llm import bpe, exact, language, licenses, lines, mixing, neardup, neighbours, substring, warc
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Python workers look for this package where the driver found it, too."""
+    root, found = str(Path(__file__).parents[2]), spark.sparkContext.environment
+    paths = [p for p in found.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        found["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    let_workers_import(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
