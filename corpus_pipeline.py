@@ -37,13 +37,35 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each class."""
+    """One document of each class: that with the smallest doc_id, one without only if all are.
+
+    Null ids are told apart by a hash of the text. An id that several texts share names none of
+    them; each of these texts is classed by itself. Rows with one id and one text are one document.
+    """
     queries.let_workers_import(spark)
-    classes = neardup.near_duplicate_classes(docs)
-    kept = classes.where("doc_id IS NULL OR doc_id = class_id").select("doc_id").distinct()
-    first = kept.withColumnRenamed("doc_id", "kept_id").hint("merge")
-    rows = docs.join(first, F.col("doc_id").eqNullSafe(F.col("kept_id"))).drop("kept_id")
-    return rows.dropDuplicates(["doc_id"])
+    rows = _with_rows(docs)
+    classes = neardup.near_duplicate_classes(rows, key="_row").select("_row", "class_id").distinct()
+    ids = rows.select("_row", "doc_id").distinct()
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
+    first = classes.join(ids.hint("merge"), "_row").groupBy("class_id").agg(F.min(order)["_row"].alias("_row"))
+    kept = rows.join(first.select("_row").hint("merge"), "_row")
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("_none"), *docs.columns)).alias("one")
+    return kept.groupBy("_row").agg(one).select(*[F.col(f"one.{c}") for c in docs.columns])
+
+
+def _with_rows(docs: DataFrame) -> DataFrame:
+    """Documents with _row, which belongs to one text: the doc_id, or a hash of the text.
+
+    Documents are only joined with the ids of several texts if there are any.
+    """
+    text = F.xxhash64(F.coalesce("text", F.lit("")))
+    texts = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(text).alias("low"), F.max(text).alias("high"))
+    shared = store_table(texts.where("low <> high").select(F.col("doc_id").alias("shared_id")), "shared_ids")
+    if shared.isEmpty():
+        return docs.withColumn("_row", F.coalesce(F.col("doc_id").cast("long"), text))
+    named = docs.join(shared.hint("merge"), F.col("doc_id") == F.col("shared_id"), "left")
+    own = F.when(F.col("shared_id").isNull(), F.col("doc_id").cast("long"))
+    return store_table(named.withColumn("_row", F.coalesce(own, text)).drop("shared_id"), "near_rows")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

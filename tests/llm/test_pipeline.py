@@ -95,6 +95,24 @@ def test_stages_keep_the_columns_and_take_no_rows(spark, raw):
         assert stage(spark, docs, raw[0]).count() == 0
 
 
+def test_near_duplicates_keep_one_of_each_class_without_or_with_shared_ids(spark):
+    texts = [spell(f"null-{i}", "abcdefgh", 80) for i in range(9)]
+    near = [f"{t} {' '.join(t.split()[-3:])}" for t in texts]
+    rows = [(None, t) for t in texts[:5]] + [(None, texts[0]), (None, near[1])]  # five classes without ids
+    rows += [(7, near[2]), (8, texts[3]), (9, near[3]), (None, near[3])]  # ids go before nulls
+    rows += [(20, texts[5]), (20, texts[6]), (3, near[6]), (20, texts[5]), (20, texts[7])]  # one id, three texts
+    rows += [(30, texts[8]), (30, texts[8])]
+    df = spark.createDataFrame([(*r, "aa", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    for parts in (1, 5):
+        kept = corpus_pipeline.drop_near_duplicates(spark, df.repartition(parts), "")
+        assert kept.dtypes == df.dtypes
+        got = [(r.doc_id, r.text) for r in kept.collect()]
+        nulls = {t for i, t in got if i is None}
+        assert len(nulls) == 3 and {texts[0], texts[4]} < nulls and nulls & {texts[1], near[1]}
+        told = [(7, near[2]), (8, texts[3]), (20, texts[5]), (3, near[6]), (20, texts[7]), (30, texts[8])]
+        assert sorted(x for x in got if x[0] is not None) == sorted(told)
+
+
 @given_tables
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_sql(spark, name):
