@@ -136,6 +136,19 @@ def test_lines_of_repeated_rows_and_of_nothing(documents):
     assert sum(r.n_removed for r in got) == 2
 
 
+def test_a_long_line_is_a_run_by_itself(documents, words):
+    long, edge, short = (" ".join(words(n, n)) for n in (60, 50, 49))
+    pairs = [
+        (1, f"a\n{long}\nb"), (2, f"c\n  \n{long}\nd"), (3, long), (4, f"{short}\ne"), (5, f"{short}\nf"),
+        (6, f"{edge}\ng"), (7, f"h\n{edge}\n{edge}"), (8, f"{long} x"), (9, "y" * 500), (10, f"z\n{'y' * 500}\nz"),
+    ]
+    got = lines.remove_repeated_lines(documents(pairs)).collect()
+    changed = {r._row.doc_id: (r.n_removed, r.kept_text) for r in got if r.n_removed}
+    assert changed == {2: (1, "c\n  \nd"), 3: (1, ""), 7: (2, "h")}
+    got = lines.remove_repeated_lines(documents(pairs), long_line=None).collect()
+    assert {r._row.doc_id: (r.n_lines, r.n_removed, r.kept_text) for r in got} == lines_by_hand(pairs, 2)
+
+
 # Substrings -----------------------------------------------------------------------
 
 

@@ -4,7 +4,7 @@ Lines are hashed, and of every ``window`` consecutive lines the least hash is a
 run of that many lines that stands twice therefore shares a fingerprint. Positions
 of shared fingerprints are joined; to both sides of each, the windows that contain it are
 matched, and neighbouring matches grow together to runs. The first place of a run
-stays, all later ones go.
+stays, all later ones go. A single line of ``long_line`` words or more is a run as well.
 """
 
 from __future__ import annotations
@@ -15,23 +15,31 @@ from pyspark.sql import functions as F
 from veritally.session import store_table
 
 WINDOW = 2
+LONG_LINE = 50
 _SOLID = r"[^\x20\x09-\x0D]"
+_WORD = _SOLID + "+"
 
 
 def repeated_lines(
-    docs: DataFrame, *, key: str = "doc_id", text: str = "text", window: int = WINDOW
+    docs: DataFrame,
+    *,
+    key: str = "doc_id",
+    text: str = "text",
+    window: int = WINDOW,
+    long_line: int | None = LONG_LINE,
 ) -> DataFrame:
     """Windows of lines that stand earlier too: row, lines (their numbers, from 0).
 
     Lines end at a line feed. Blank ones are passed over: they neither part a run nor belong to
-    it. A window is ``window`` consecutive other lines; it is later if the same lines stand
+    it. A window is ``window`` consecutive other lines, or one line that has ``long_line`` words or
+    more (None: no single line is a window because of its length); it is later if the same lines stand
     anywhere before, by key and line number. Null keys are replaced by a hash of the text.
     Whole rows that repeat are one place. A key belongs to one text.
 
     Counting fingerprints and windows starts on the map side, and the joins can be split,
     so a line that a third of the documents share doesn't end in one task.
     """
-    places = store_table(_rows(docs, key, text).select("row", _windows("text", window)), "line_windows")
+    places = store_table(_rows(docs, key, text).select("row", _windows("text", window, long_line)), "line_windows")
     spots = places.groupBy("mark").agg(
         F.min(F.struct("row", "spot")).alias("low"), F.max(F.struct("row", "spot")).alias("high")
     )
@@ -49,6 +57,7 @@ def remove_repeated_lines(
     key: str = "doc_id",
     text: str = "text",
     window: int = WINDOW,
+    long_line: int | None = LONG_LINE,
     keep: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """Per row of ``docs``: _row (the columns of ``keep``, or the key), n_lines, n_removed, kept_text.
@@ -56,7 +65,7 @@ def remove_repeated_lines(
     The lines that stay keep their order and are joined by line feeds. A null or empty text has no
     lines and stays empty. See :func:`repeated_lines` for what counts as repeated.
     """
-    later = repeated_lines(docs, key=key, text=text, window=window)
+    later = repeated_lines(docs, key=key, text=text, window=window, long_line=long_line)
     numbers = later.select("row", F.explode("lines").alias("line")).groupBy("row")
     gone = numbers.agg(F.collect_set("line").alias("gone"))
     rows = _rows(docs, key, text, F.struct(*(keep or (key,))).alias("_row"))
@@ -81,7 +90,7 @@ def _rows(docs: DataFrame, key: str, text: str, *more: Column) -> DataFrame:
     return docs.select(row.alias("row"), *more, F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
-def _windows(text: str, window: int) -> Column:
+def _windows(text: str, window: int, long_line: int | None) -> Column:
     """Rows mark (fingerprint), spot (its line), one, two (128 bits of hash) and lines.
 
     The fingerprint of a window is the least line hash, of equals the last.
@@ -93,6 +102,7 @@ def _windows(text: str, window: int) -> Column:
             F.xxhash64(F.lit(2), line).alias("two"),
             i.alias("i"),
             line.rlike(_SOLID).alias("solid"),
+            _is_long(line, long_line).alias("long"),
         ),
     )
     solid = F.filter(lines, lambda x: x["solid"])
@@ -111,4 +121,24 @@ def _windows(text: str, window: int) -> Column:
             F.array(*[m["i"] for m in mine]).alias("lines"),
         )
 
-    return F.inline(F.transform(zipped, one_window))
+    windows = F.transform(zipped, one_window)
+    if long_line is None or window == 1:
+        return F.inline(windows)
+
+    def one_line(m: Column) -> Column:
+        return F.struct(
+            m["one"].alias("mark"),
+            m["i"].alias("spot"),
+            F.xxhash64(F.lit("line"), m["one"]).alias("one"),
+            F.xxhash64(F.lit("line"), m["two"]).alias("two"),
+            F.array(m["i"]).alias("lines"),
+        )
+
+    return F.inline(F.concat(windows, F.transform(F.filter(solid, lambda x: x["long"]), one_line)))
+
+
+def _is_long(line: Column, words: int | None) -> Column:
+    """Whether a line has so many words; short ones are told by their length, without counting."""
+    if words is None:
+        return F.lit(False)
+    return (F.length(line) >= 2 * words - 1) & (F.regexp_count(line, F.lit(_WORD)) >= words)

@@ -43,7 +43,8 @@ def op2_substring_dedup(spark, sf_dir):
 
 
 def op3_winnow_lines(spark, sf_dir):
-    kept = lines.remove_repeated_lines(table(spark, sf_dir, "documents"))
+    # The SQL of this query knows runs of two lines only.
+    kept = lines.remove_repeated_lines(table(spark, sf_dir, "documents"), long_line=None)
     return kept.select(
         "_row.doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
     )
