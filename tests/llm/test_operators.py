@@ -325,6 +325,31 @@ def test_notices_are_found(spark, license_model):
     assert licenses.scan_licenses(df.limit(0), license_model).count() == 0
 
 
+def test_wrapped_notices_are_found(spark, license_model):
+    mpl = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at http://mozilla.org/MPL/2.0/. */"""
+    lgpl = """# This library is free software; you can redistribute it and/or
+# modify it under the terms of the GNU Lesser General Public
+# License as published by the Free Software Foundation; either
+# version 2.1 of the License, or (at your option) any later version."""
+    narrow = "// Permission is hereby\n// granted, free of\n// charge, to any\n// person obtaining a\n// copy of this\n// software and"
+    rows = [
+        (1, f"abc def\n{mpl}\nabc"), (2, f"abc\n\n{lgpl}\n"), (3, narrow), (4, "Dedicated to the public\n  domain under\tCC0"),
+        (5, "Released under\n\nthe MIT License"), (6, "Released under\nthe MIT License\nReleased under the MIT License"),
+        (7, "Ask for\npermission before you\nleave the room"),
+    ]
+    got = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"), license_model).collect()
+    found = {i: {(r.paragraph, r.family) for r in got if r.doc_id == i} for i, _ in rows}
+    assert found[1] and {p for p, _ in found[1]} <= {1, 2} and {f for _, f in found[1]} == {"mpl-2.0"}
+    assert (3, "lgpl") in found[2] and {f for _, f in found[2]} <= {"lgpl", "gpl"}
+    assert found[3] and {f for _, f in found[3]} == {"mit"}
+    assert found[4] == {(0, "cc0")}
+    assert found[6] >= {(2, "mit")} and {f for _, f in found[6]} == {"mit"}
+    assert not found[7]
+    assert len(got) == len({(r.doc_id, r.paragraph, r.family) for r in got})
+
+
 def test_scan_equals_brute_force(spark, license_model):
     """The score of every paragraph from the coefficients, without Spark."""
     vocabulary = {t: i for i, t in enumerate(license_model.stages.stages[2].vocabulary)}
