@@ -10,7 +10,21 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritally.llm import bpe, exact, language, licenses, lines, mixing, neardup, neighbours, substring, warc
+from veritally.llm import (
+    audit,
+    bpe,
+    collocations,
+    exact,
+    language,
+    licenses,
+    lines,
+    mixing,
+    neardup,
+    neighbours,
+    substring,
+    suffixes,
+    warc,
+)
 
 
 def let_workers_import(spark: SparkSession) -> None:
@@ -87,6 +101,19 @@ def op10_mix_sources(spark, sf_dir):
     return mixing.mix_counts(table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op11_suffix_arrays(spark, sf_dir):
+    kept = suffixes.remove_repeated_bytes(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_filter_audit(spark, sf_dir):
+    return audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_network": op1_byte_network,
     "op2_substring_dedup": op2_substring_dedup,
@@ -98,6 +125,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_probminhash": op8_probminhash,
     "op9_bpe_words": op9_bpe_words,
     "op10_mix_sources": op10_mix_sources,
+    "op11_suffix_arrays": op11_suffix_arrays,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_collocations": op13_collocations,
 }
 
 _BASE32 = " || ".join(
@@ -206,4 +236,119 @@ ORACLES: dict[str, str] = {
                  - floor({mixing.offset(mixing.SEED)!r}::DOUBLE + expected * (rank - 1))) * size
                )::BIGINT AS taken
         FROM ranked""",
+    "op11_suffix_arrays": """
+        WITH bytes AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        based AS (SELECT doc_id, h, unnest(range(0, len(h) // 2, 512)) AS base FROM bytes),
+        chunks AS (SELECT doc_id, base, substr(h, 2 * base + 1, 2 * (512 + 199)) AS h FROM based),
+        placed AS (
+            SELECT doc_id, base, h, unnest(range(1, least(512, len(h) // 2) + 1)) AS p FROM chunks),
+        windows AS (
+            SELECT doc_id, base + p AS pos, md5(substr(h, 2 * p - 1, 400)) AS w
+            FROM placed WHERE p + 199 <= len(h) // 2),
+        repeated AS (SELECT w FROM windows GROUP BY w HAVING count(*) > 1),
+        starts AS (SELECT doc_id, pos FROM windows SEMI JOIN repeated USING (w)),
+        judged AS (
+            SELECT placed.doc_id, base + p AS pos, substr(h, 2 * p - 1, 2) AS byte,
+                   coalesce(bool_or(starts.pos IS NOT NULL) OVER (
+                       PARTITION BY placed.doc_id ORDER BY base + p
+                       ROWS BETWEEN 199 PRECEDING AND CURRENT ROW), FALSE) AS removed
+            FROM placed LEFT JOIN starts ON starts.doc_id = placed.doc_id AND starts.pos = base + p),
+        runs AS (
+            SELECT *, removed AND NOT coalesce(lag(removed) OVER (
+                PARTITION BY doc_id ORDER BY pos), FALSE) AS begins
+            FROM judged)
+        SELECT documents.doc_id, count(pos) AS n_bytes, count(*) FILTER (removed) AS n_removed,
+               count(*) FILTER (begins) AS n_spans,
+               sha256(unhex(coalesce(string_agg(byte, '' ORDER BY pos) FILTER (NOT removed), '')))
+                   AS kept_sha256
+        FROM documents LEFT JOIN runs ON runs.doc_id = documents.doc_id
+        GROUP BY documents.doc_id""",
+    "op12_filter_audit": """
+        WITH texts AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+                   regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws
+            FROM documents),
+        failed AS (
+            SELECT doc_id, part,
+                   CASE WHEN len(ws) < 100 THEN 1 ELSE 0 END
+                   + CASE WHEN 100 * len(list_distinct(ws)) < 80 * len(ws) THEN 2 ELSE 0 END
+                   + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t)
+                          THEN 4 ELSE 0 END
+                   + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+                   + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask
+            FROM texts),
+        judged AS (
+            SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic
+            FROM labels GROUP BY doc_id),
+        counted AS (
+            SELECT part, mask, coalesce(good, FALSE) AS good, coalesce(toxic, FALSE) AS toxic,
+                   count(*) AS n
+            FROM failed LEFT JOIN judged ON judged.doc_id = failed.doc_id GROUP BY ALL),
+        letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+        orders AS (
+            SELECT a.l || b.l || c.l || d.l || e.l AS filter_order
+            FROM letters a, letters b, letters c, letters d, letters e
+            WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+        steps AS (
+            SELECT filter_order, step::INTEGER AS step,
+                   (1 << (ascii(substr(filter_order, step, 1)) - 65)) AS bit,
+                   list_sum([1 << (ascii(x) - 65) FOR x IN
+                             string_split(substr(filter_order, 1, step - 1), '') IF x <> '']) AS before
+            FROM orders, range(1, 6) AS r(step)),
+        masked AS (SELECT filter_order, step, bit::BIGINT AS bit, coalesce(before, 0)::BIGINT AS before FROM steps),
+        summed AS (
+            SELECT part, filter_order, step, any_value(bit) AS bit,
+                   sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+                   sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN n ELSE 0 END)::BIGINT AS removed,
+                   sum(CASE WHEN mask & bit > 0 AND mask & before > 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+                   sum(CASE WHEN mask = bit THEN n ELSE 0 END)::BIGINT AS unique_fails,
+                   sum(CASE WHEN good AND mask & bit > 0 AND mask & before = 0 THEN n ELSE 0 END)::BIGINT
+                       AS good_lost,
+                   sum(CASE WHEN toxic AND mask & bit > 0 AND mask & before = 0 THEN n ELSE 0 END)::BIGINT
+                       AS toxic_lost
+            FROM counted, masked GROUP BY part, filter_order, step)
+        SELECT * EXCLUDE (bit), (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+        FROM summed""",
+    "op13_collocations": """
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\\x0A-\\x0D]')) AS piece
+            FROM documents),
+        split AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM pieces),
+        placed AS (
+            SELECT lang, ws, size, unnest(range(1, len(ws) - size + 2)) AS i
+            FROM split, range(1, 5) AS r(size)),
+        phrases AS (
+            SELECT lang, array_to_string(ws[i : i + size - 1], ' ') AS phrase, any_value(size) AS size,
+                   count(*) AS f
+            FROM placed GROUP BY ALL),
+        totals AS (SELECT lang, sum(f)::BIGINT AS n FROM phrases WHERE size = 1 GROUP BY lang),
+        frequent AS (SELECT *, string_split(phrase, ' ') AS ws FROM phrases WHERE f >= 30),
+        cuts AS (
+            SELECT lang, phrase, f AS a, unnest(range(1, size)) AS k, ws FROM frequent WHERE size > 1),
+        scored AS (
+            SELECT cuts.lang, cuts.phrase, a, k, x.f AS l, y.f AS r,
+                   2000000::HUGEINT * a // (x.f::HUGEINT + y.f) AS score
+            FROM cuts
+            JOIN frequent x ON x.lang = cuts.lang AND x.phrase = array_to_string(cuts.ws[1 : k], ' ')
+            JOIN frequent y ON y.lang = cuts.lang AND y.phrase = array_to_string(cuts.ws[k + 1 :], ' ')),
+        weakest AS (
+            SELECT * FROM scored
+            QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        lengths AS (
+            SELECT *, unnest(range(2, size)) AS m FROM frequent WHERE size > 2),
+        inside AS (
+            SELECT lang, f, ws, m, unnest(range(1, size - m + 2)) AS i FROM lengths),
+        longest AS (
+            SELECT lang, array_to_string(ws[i : i + m - 1], ' ') AS phrase, max(f) AS longer
+            FROM inside GROUP BY ALL),
+        ranked AS (
+            SELECT weakest.lang, weakest.phrase, a, l, r, score, row_number() OVER (
+                PARTITION BY weakest.lang ORDER BY score DESC, a DESC, weakest.phrase) AS rank
+            FROM weakest LEFT JOIN longest
+            ON longest.lang = weakest.lang AND longest.phrase = weakest.phrase
+            WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a)
+        SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score
+        FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""",
 }
