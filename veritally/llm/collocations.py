@@ -1,14 +1,14 @@
 """Phrases whose words stand together more often than apart, by stripes.
 
 A stripe belongs to a prefix and counts the words that come next. Tasks build the stripes of their
-texts, equal prefixes meet by a shuffle and their stripes are merged element by element. Level
-by level, prefixes get longer: the stripes of one level hold the counts of all phrases of that
-length, the totals of the next level's prefixes, and, as the largest entry that a phrase has as a
-prefix or as an ending, what decides whether a longer phrase subsumes it.
+texts, equal prefixes meet by a shuffle and their stripes are merged element by element. First come
+prefixes of one word, then all longer ones: an entry is the count of a phrase, which is also
+the total of the prefix one word longer, and the largest entry that a phrase has as a prefix
+or as an ending decides whether a longer phrase subsumes it.
 
 Words travel as 64-bit numbers that are checked to be different for all different words. A
-phrase can't be frequent unless its two parts without the first and without the last word are, so
-tasks leave out what a bit table of the frequent shorter phrases rules out. That table has a fixed
+phrase can't be frequent unless its words are and each two neighbours are, so tasks leave out what
+a bit table of the frequent words, and then of the frequent pairs, rules out. That table has a fixed
 size; where it is too small for a corpus, more goes through the shuffle and nothing is lost.
 """
 
@@ -34,12 +34,13 @@ SCALE = 2_000_000
 SUBSUMED_PERCENT = 80
 UNKNOWN = "und"
 
-SLICE = 2 << 20
+SLICE = 1 << 20
 #: Entries that a task gathers before it merges and sends them.
 GATHERED = 1 << 20
 #: Entries of one row of a stripe; longer ones take several rows.
-ROW_ENTRIES = 512
-#: Prefixes with this share of all words get their stripe cut in slots; there are 1,000 at most.
+ROW_ENTRIES = 64
+#: Prefixes that begin with this share of all words or pairs get their stripe cut in slots; such words
+#: and such pairs are 1,000 at most.
 HEAVY = 1000
 #: The bit table of frequent phrases: 8 MB.
 TABLE_BITS = 1 << 26
@@ -47,6 +48,10 @@ PROBES = 3
 
 _U = np.uint64
 _W = [f"w{i}" for i in range(1, MOST_WORDS + 1)]
+#: Word numbers of a prefix, 0 behind its last word, and the slot of its stripe.
+_PREFIX = [*_W[:-1], "slot"]
+_STRIPE = ", ".join(f"{c} long" for c in _PREFIX) + ", nexts array<long>, counts array<long>"
+_PHRASE = ", ".join(f"{c} long" for c in [*_W, "f"])
 
 BREAK = np.zeros(256, bool)
 BREAK[[*b".,;:!?", 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -97,18 +102,16 @@ def frequent_phrases(
     total = words.agg(F.sum("f")).first()[0] or 0
     level = words.where(F.col("f") >= least).select("w1", *_none(_W[1:]), "f")
     levels = [store_table(level, "phrases")]
-    for size in range(2, most_words + 1):
-        seen = _bit_table(levels[-1], size - 1)
-        heavy = _heavy(levels[-1], size - 1, total)
-        context = rows.sparkSession.sparkContext
-        shared = context.broadcast((seen, heavy))
-        stripes = rows.mapInArrow(_stripe_task(shared, size, seed), _stripe_schema(size))
-        prefix = [*_W[: size - 1], "slot"]
-        merged = stripes.repartition(*prefix).sortWithinPartitions(*prefix).mapInArrow(
-            _merge_task(size, least), ", ".join(f"{c} long" for c in [*_W[:size], "f"])
-        )
-        levels.append(store_table(merged.select(*_W[:size], *_none(_W[size:]), "f"), "phrases"))
-        shared.unpersist()
+    # Pairs, sifted by their words; then all longer phrases at once, sifted by their pairs.
+    for known, sizes in ((1, (2,)), (2, tuple(range(3, most_words + 1)))):
+        if known < most_words and sizes:
+            shorter = levels[-1]
+            table = (_bit_table(shorter, known), _heavy(shorter, known, total))
+            shared = rows.sparkSession.sparkContext.broadcast(table)
+            stripes = rows.mapInArrow(_stripe_task(shared, known, sizes, seed), _STRIPE)
+            merged = stripes.repartition(*_PREFIX).sortWithinPartitions(*_PREFIX)
+            levels.append(store_table(merged.mapInArrow(_merge_task(least), _PHRASE), "phrases"))
+            shared.unpersist()
     return words, reduce(DataFrame.unionByName, levels)
 
 
@@ -335,22 +338,27 @@ def _summed(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndar
     return [c[heads] for c in columns], np.add.reduceat(counts[order], heads)
 
 
-def _stripe_schema(size: int) -> str:
-    return ", ".join(f"{w} long" for w in _W[: size - 1]) + ", slot int, nexts array<long>, counts array<long>"
+def _stripe_task(shared, known: int, sizes: tuple[int, ...], seed: int):
+    """Stripes of the phrases of these sizes, merged over the slices of a task in portions.
 
-
-def _stripe_task(shared, size: int, seed: int):
-    """Stripes of prefixes of ``size`` - 1 words, merged over the slices of a task in portions."""
+    The bit table has the frequent phrases of ``known`` words. All parts of that length must be in it.
+    """
 
     def phrases(found: Words, table: np.ndarray) -> list[np.ndarray]:
-        n = len(found.starts)
-        at = np.arange(max(0, n - size + 1))
-        for i in range(size - 1):
-            at = at[found.follows[at + i]]
-        shorter = np.arange(max(0, n - size + 2))
-        known = _holds(table, gram_hashes([found.numbers[shorter + i] for i in range(size - 1)]))
-        at = at[known[at] & known[at + 1]]
-        return [found.numbers[at + i].view(np.int64) for i in range(size)]
+        n, numbers = len(found.starts), found.numbers.view(np.int64)
+        at = np.arange(max(0, n - known + 1))
+        sifted = np.zeros(n + max(sizes), bool)
+        sifted[: len(at)] = _holds(table, gram_hashes([numbers[at + i] for i in range(known)]))
+        rows = []
+        for size in sizes:
+            at = np.arange(max(0, n - size + 1))
+            for i in range(size - 1):
+                at = at[found.follows[at + i]]
+            for i in range(size - known + 1):
+                at = at[sifted[at + i]]
+            prefix = [numbers[at + i] if i < size - 1 else np.zeros(len(at), np.int64) for i in range(len(_W) - 1)]
+            rows.append([*prefix, numbers[at + size - 1]])
+        return [np.concatenate(c) for c in zip(*rows)]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, heavy = shared.value
@@ -363,22 +371,23 @@ def _stripe_task(shared, size: int, seed: int):
                 mine = langs.slice(part.rows.start, len(part.rows))
                 gathered.append(phrases(Words(part, mine, seed), table))
                 if sum(len(g[0]) for g in gathered) >= GATHERED:
-                    yield from _stripes(gathered, size, names, slots)
+                    yield from _stripes(gathered, known, names, slots)
                     gathered = []
         if gathered:
-            yield from _stripes(gathered, size, names, slots)
+            yield from _stripes(gathered, known, names, slots)
 
     return task
 
 
-def _stripes(gathered: list, size: int, names: np.ndarray, slots: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _stripes(gathered: list, known: int, names: np.ndarray, slots: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Stripes of gathered phrases. A prefix has slots if its first ``known`` words are heavy."""
     columns = [np.concatenate(c) for c in zip(*gathered)]
     if len(columns[0]) == 0:
         return
     prefix, following = columns[:-1], columns[-1]
     slot = np.zeros(len(following), np.int64)
     if len(names):
-        hashed = gram_hashes(prefix)
+        hashed = gram_hashes(prefix[:known])
         at = np.minimum(np.searchsorted(names, hashed), len(names) - 1)
         cut = names[at] == hashed
         slot[cut] = (mix(following[cut].view(_U)) % slots[at[cut]]).astype(np.int64)
@@ -387,21 +396,23 @@ def _stripes(gathered: list, size: int, names: np.ndarray, slots: np.ndarray) ->
     place = np.arange(len(counts)) - np.repeat(heads, np.diff(np.r_[heads, len(counts)]))
     rows = np.flatnonzero(place % ROW_ENTRIES == 0)
     offsets = pa.array(np.r_[rows, len(counts)].astype(np.int32))
-    batch = {w: keys[i][rows] for i, w in enumerate(_W[: size - 1])}
-    batch["slot"] = keys[-2][rows].astype(np.int32)
+    batch = {c: k[rows] for c, k in zip(_PREFIX, keys)}
     batch["nexts"] = pa.ListArray.from_arrays(offsets, pa.array(keys[-1]))
     batch["counts"] = pa.ListArray.from_arrays(offsets, pa.array(counts))
     yield pa.record_batch(batch)
 
 
-def _merge_task(size: int, least: int):
+def _merge_task(least: int):
     """Elementwise sums of the stripes of a prefix, which come one after another; frequent entries."""
-    prefix = [*_W[: size - 1], "slot"]
 
     def frequent(keys: list[np.ndarray], counts: np.ndarray) -> pa.RecordBatch:
         kept = counts >= least
-        named = {w: keys[i][kept] for i, w in enumerate(_W[: size - 1])}
-        return pa.record_batch(named | {_W[size - 1]: keys[-1][kept], "f": counts[kept]})
+        *prefix, _, following = [k[kept] for k in keys]
+        words = []
+        for i, w in enumerate([*prefix, np.zeros_like(following)]):
+            first = (w == 0) & (prefix[i - 1] != 0)  # the place behind the last word of the prefix
+            words.append(np.where(first, following, w))
+        return pa.record_batch(dict(zip(_W, words)) | {"f": counts[kept]})
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -410,7 +421,7 @@ def _merge_task(size: int, least: int):
                 continue
             nexts, counts = _column(batch, "nexts"), _column(batch, "counts")
             lengths = nexts.value_lengths().to_numpy()
-            keys = [np.repeat(_column(batch, c).to_numpy().astype(np.int64), lengths) for c in prefix]
+            keys = [np.repeat(_column(batch, c).to_numpy(), lengths) for c in _PREFIX]
             keys.append(nexts.flatten().to_numpy())
             sums = counts.flatten().to_numpy()
             if held:
