@@ -9,7 +9,8 @@ Not every suffix has to be sorted. Every window of ``window`` bytes has an owner
 the least n-gram in its first ``head`` bytes, so equal windows have owners in the same place. The
 windows of one owner form a stretch, which begins at a suffix of the array. A stretch that
 stands elsewhere as a whole settles all its windows. Where owners have equal surroundings but
-different stretches, at the borders of a repeated passage, the suffixes of all windows are sorted.
+different stretches, at the borders of a repeated passage, the stretches of an owner are brought
+together and the suffixes of all their windows are sorted.
 """
 
 from __future__ import annotations
@@ -34,8 +35,13 @@ SHALLOW = 48
 #: Windows of a text that are looked at together; their places fit in the low bits of a hash.
 CHUNK = 1 << 23
 _PLACE = np.uint64((1 << 24) - 1)
+#: Stretches of one owner that are sorted together; more are dealt to several groups.
+GROUP = 1024
+#: Stretches of small groups that a task sorts at a time.
+AT_ONCE = 4096
 _STRETCH = "owner long, stretch long, row long, start int, n int"
-_WINDOWS = "owner long, bytes long, row long, start int, once boolean"
+_SNIPPET = "owner long, salt int, salts int, row long, start int, n int, once boolean, bytes binary"
+_FOUND = "owner long, string long, row long, start int, n int, open boolean"
 
 
 def repeated_byte_spans(
@@ -59,34 +65,48 @@ def repeated_byte_spans(
     that a third of the corpus shares is no larger than any other after it.
     """
     rows = _rows(docs, key, text)
+    owners = rows.mapInArrow(_owner_task(window, head, gram), "owner long")
+    known = owners.groupBy("owner").agg(F.count(F.lit(1)).alias("places")).where("places > 1")
     found = rows.mapInArrow(_stretch_task(window, head, gram), _STRETCH)
-    known = found.groupBy("owner").agg(F.count(F.lit(1)).alias("places")).where("places > 1")
     shared = store_table(found.join(known.select("owner").hint("merge"), "owner"), "stretches")
     place = F.min(F.struct("row", "start", "n")).alias("place")
     texts = shared.groupBy("owner", "stretch").agg(F.count(F.lit(1)).alias("places"), place)
     texts = store_table(texts, "stretch_texts")
     several = texts.where("places > 1").select("owner", "stretch")
     whole = shared.join(several.hint("merge"), ["owner", "stretch"])
-    checked = _border_windows(rows, texts, window)
-    return whole.select("row", "start", (F.col("n") + (window - 1)).alias("n")).unionByName(
-        checked.select("row", "start", F.lit(window).alias("n"))
-    )
+    checked = _border_spans(rows, texts, window)
+    return whole.select("row", "start", (F.col("n") + (window - 1)).alias("n")).unionByName(checked)
+
 
+def _border_spans(rows: DataFrame, texts: DataFrame, window: int) -> DataFrame:
+    """Repeated windows of stretches that stand once, where their owner has several.
 
-def _border_windows(rows: DataFrame, texts: DataFrame, window: int) -> DataFrame:
-    """Repeated windows of stretches that stand once, where their owner has several."""
+    One stretch of each kind is cut out, and those of an owner are sorted together. An owner
+    with more than ``GROUP`` kinds has several groups, dealt by digest. What a group alone doesn't
+    settle there, a window that is single in its group, is looked up among the distinct windows
+    of the owner's other groups.
+    """
     owners = texts.groupBy("owner").agg(F.count(F.lit(1)).alias("kinds"), F.min("places").alias("fewest"))
-    unclear = owners.where("kinds > 1 AND fewest = 1").select("owner")
-    once = (F.col("places") == 1).alias("once")
-    probes = texts.join(unclear.hint("merge"), "owner").select(
-        F.col("place.row").alias("row"), F.struct("place.start", "place.n", "owner", once).alias("probe")
+    unclear = owners.where("kinds > 1 AND fewest = 1")
+    unclear = unclear.select("owner", F.ceil(F.col("kinds") / GROUP).cast("int").alias("salts"))
+    probe = F.struct(
+        "place.start",
+        "place.n",
+        "owner",
+        (F.col("places") == 1).alias("once"),
+        F.pmod("stretch", "salts").cast("int").alias("salt"),
+        "salts",
     )
+    probes = texts.join(unclear.hint("merge"), "owner").select(F.col("place.row").alias("row"), probe.alias("probe"))
     lists = probes.groupBy("row").agg(F.collect_list("probe").alias("probes"))
-    sorted_ = rows.join(lists.hint("merge"), "row").mapInArrow(_window_task(window), _WINDOWS)
-    sorted_ = store_table(sorted_, "border_windows")
-    counted = sorted_.groupBy("owner", "bytes").agg(F.count(F.lit(1)).alias("places"))
-    repeated = counted.where("places > 1").select("owner", "bytes")
-    return sorted_.where("once").join(repeated.hint("merge"), ["owner", "bytes"]).select("row", "start")
+    snippets = rows.join(lists.hint("merge"), "row").mapInArrow(_snippet_task(window), _SNIPPET)
+    groups = snippets.repartition("owner", "salt").sortWithinPartitions("owner", "salt")
+    found = store_table(groups.mapInArrow(_border_task(window), _FOUND), "border_windows")
+    settled = found.where("open IS NULL").select("row", "start", "n")
+    shared = found.where("open IS NOT NULL").groupBy("owner", "string").agg(F.count(F.lit(1)).alias("groups"))
+    shared = shared.where("groups > 1").select("owner", "string")
+    across = found.where("open").join(shared.hint("merge"), ["owner", "string"]).select("row", "start", "n")
+    return settled.unionByName(across)
 
 
 def remove_repeated_bytes(
@@ -326,6 +346,15 @@ def stretches(part: Slice, window: int, head: int, gram: int) -> tuple[np.ndarra
     return around.view(np.int64), text, first, count
 
 
+def _owner_task(window: int, head: int, gram: int):
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, part in _chunks(_column(batch, "text"), window):
+                yield pa.record_batch({"owner": stretches(part, window, head, gram)[0]})
+
+    return task
+
+
 def _stretch_task(window: int, head: int, gram: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -347,7 +376,9 @@ def _stretch_task(window: int, head: int, gram: int):
     return task
 
 
-def _window_task(window: int):
+def _snippet_task(window: int):
+    """The bytes of the stretches that are asked for."""
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = _column(batch, "row").to_numpy()
@@ -356,23 +387,87 @@ def _window_task(window: int):
                 mine = lists.slice(part.rows.start, len(part.rows))
                 text = np.repeat(np.arange(len(mine)), mine.value_lengths().to_numpy())
                 probes = mine.flatten()
-                start, n, owner, once = (probes.field(i).to_numpy(False) for i in range(4))
-                which = np.repeat(np.arange(len(n)), n)
-                local = start[which] + np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
-                at = part.edges[text[which]] + local
+                start, n, owner, once, salt, salts = (probes.field(i) for i in range(6))
+                first = part.edges[text] + start.to_numpy()
+                last = first + n.to_numpy() + window - 1
+                raw = part.data.tobytes()
                 yield pa.record_batch(
                     {
-                        "owner": owner[which],
-                        "bytes": digests(Suffixes(part.data, at, at + window)),
-                        "row": keys[part.rows.start : part.rows.stop][text[which]],
-                        "start": local.astype(np.int32),
-                        "once": once[which].astype(bool),
+                        "owner": owner,
+                        "salt": salt,
+                        "salts": salts,
+                        "row": keys[part.rows.start : part.rows.stop][text],
+                        "start": start,
+                        "n": n,
+                        "once": once,
+                        "bytes": pa.array([raw[a:b] for a, b in zip(first.tolist(), last.tolist())], pa.binary()),
                     }
                 )
 
     return task
 
 
+def _border_task(window: int):
+    """Sorts the windows of whole groups, which come one after another, some groups at a time."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            owner, salt = held["owner"].to_numpy(), held["salt"].to_numpy()
+            heads = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (salt[1:] != salt[:-1])])
+            done = 0
+            while heads[-1] - done >= AT_ONCE or (done < heads[-1] and len(held) - done > 2 * AT_ONCE):
+                end = int(heads[max(np.searchsorted(heads, done + AT_ONCE, "right") - 1, np.searchsorted(heads, done) + 1)])
+                yield _border_windows(held.slice(done, end - done).combine_chunks(), window)
+                done = end
+            held = held.slice(done)
+        if held is not None and len(held):
+            yield _border_windows(held.combine_chunks(), window)
+
+    return task
+
+
+def _border_windows(group: pa.Table, window: int) -> pa.RecordBatch:
+    """Runs of repeated windows (open is null), and the distinct windows of owners with more groups.
+
+    The latter are open if they are neither settled here nor by their stretch.
+    """
+    owner, row, start, n, salts = (group[c].to_numpy() for c in ("owner", "row", "start", "n", "salts"))
+    once = group["once"].to_numpy(zero_copy_only=False).astype(bool)
+    strings = group["bytes"].combine_chunks() if isinstance(group["bytes"], pa.ChunkedArray) else group["bytes"]
+    strings = strings.chunk(0) if isinstance(strings, pa.ChunkedArray) else strings
+    edges = np.r_[0, np.cumsum(n.astype(np.int64) + window - 1)]
+    data = np.frombuffer(b"".join(strings.to_pylist()), np.uint8)
+    which = np.repeat(np.arange(len(n)), n)
+    offset = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
+    at = edges[which] + offset
+    suffixes = Suffixes(data, at, at + window)
+    first = equal_classes(suffixes)
+    repeated = np.bincount(first, minlength=len(first))[first] > 1
+    hit = repeated & once[which]
+    begins = np.flatnonzero(hit & ~np.r_[False, hit[:-1] & (which[1:] == which[:-1])])
+    ends = np.flatnonzero(hit & ~np.r_[hit[1:] & (which[1:] == which[:-1]), False])
+    single = np.flatnonzero((first == np.arange(len(first))) & (salts[which] > 1))
+    names = [int.from_bytes(hashlib.blake2b(suffixes.string(i), digest_size=8).digest(), signed=True) for i in single.tolist()]
+    both = np.r_[begins, single]
+    return pa.record_batch(
+        {
+            "owner": owner[which[both]],
+            "string": np.r_[np.zeros(len(begins), np.int64), np.array(names, np.int64)],
+            "row": row[which[both]],
+            "start": (start[which[both]] + offset[both]).astype(np.int32),
+            "n": np.r_[ends - begins + window, np.full(len(single), window)].astype(np.int32),
+            "open": pa.array(
+                [None] * len(begins) + (once[which[single]] & ~repeated[single]).tolist(), pa.bool_()
+            ),
+        }
+    )
+
+
 def _removal_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keys, lists = _column(batch, "key"), _column(batch, "spans")
