@@ -1,0 +1,112 @@
+"""A caller's function over batches: what it sees, what it gives, and how it fails."""
+
+from __future__ import annotations
+
+import sys
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from conftest import rows
+from pyspark import cloudpickle
+from pyspark.errors import PythonException
+from pyspark.sql import functions as F
+
+from veritally.operators.batch_map import map_batches
+
+# Workers can't import test modules.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+@pytest.fixture
+def frame(spark):
+    data = [(i, None if i % 5 == 0 else "x" * i, [i, i + 1], float(i)) for i in range(50)]
+    return spark.createDataFrame(data, "id long, text string, pair array<int>, f double").repartition(3)
+
+
+def lengths(batch):
+    return {"n": [None if t is None else len(t) for t in batch.column("text").to_pylist()]}
+
+
+def test_kept_columns_stay_with_their_rows(frame):
+    got = sorted(rows(map_batches(frame, lengths, "n long", inputs=["text"])), key=lambda r: r["id"])
+    assert [r["n"] for r in got] == [None if i % 5 == 0 else i for i in range(50)]
+    assert all(r["pair"] == [r["id"], r["id"] + 1] and r["f"] == r["id"] for r in got)
+    assert map_batches(frame, lengths, "n long", inputs=["text"], keep=["id"]).columns == ["id", "n"]
+
+
+def test_batches_are_no_larger_than_asked(frame):
+    def size(batch):
+        assert batch.schema.names == ["id"]
+        return {"rows": [batch.num_rows] * batch.num_rows}
+
+    got = rows(map_batches(frame.coalesce(1), size, "rows int", inputs=["id"], keep=[], batch_size=7))
+    assert [r["rows"] for r in got].count(7) == 49 and [r["rows"] for r in got].count(1) == 1
+
+
+def test_any_kind_of_column_may_come_back(frame):
+    def several(batch):
+        n = batch.num_rows
+        return {
+            "a": np.arange(n) + 0.5,
+            "b": pa.chunked_array([["s"] * n]),
+            "c": [[1, 2]] * n,
+            "d": [{"x": 1, "y": None}] * n,
+            "e": pa.array([2**31] * n, pa.int64()),
+        }
+
+    kind = "a double, b string, c array<long>, d struct<x:int,y:string>, e long"
+    got = rows(map_batches(frame, several, kind, keep=[]))
+    assert len(got) == 50 and got[0]["c"] == [1, 2] and got[0]["d"] == {"x": 1, "y": None}
+    assert got[0]["b"] == "s" and got[0]["e"] == 2**31
+
+
+def test_a_model_is_loaded_once_per_task(frame, tmp_path):
+    log = tmp_path / "loads"
+
+    def load():
+        with open(log, "a") as f:
+            f.write("x")
+        return lengths
+
+    assert map_batches(frame.coalesce(1), None, "n long", load=load, batch_size=4).count() == 50
+    assert log.read_text() == "x"
+
+
+@pytest.mark.parametrize(
+    ("function", "message"),
+    [
+        (lambda b: {"n": [1] * (b.num_rows - 1)}, "values for"),
+        (lambda b: {"n": [1] * (b.num_rows + 1)}, "values for"),
+        (lambda b: {}, "missing"),
+        (lambda b: {"n": [1] * b.num_rows, "m": [1] * b.num_rows}, "extra"),
+        (lambda b: {"n": ["word"] * b.num_rows}, "doesn't fit"),
+        (lambda b: {"n": pa.array([2**40] * b.num_rows)}, "doesn't fit"),
+        (lambda b: [1] * b.num_rows, "not columns by name"),
+        (lambda b: {"n": [1 // 0]}, "ZeroDivisionError"),
+    ],
+)
+def test_a_function_that_breaks_the_contract_fails_the_job(frame, function, message):
+    with pytest.raises(PythonException, match=message):
+        map_batches(frame, function, "n int").collect()
+
+
+def test_no_rows(frame):
+    def never(batch):
+        raise AssertionError("called")
+
+    got = map_batches(frame.where("id < 0"), never, "n int", keep=["id"])
+    assert rows(got) == [] and got.dtypes == [("id", "bigint"), ("n", "int")]
+
+
+def test_what_is_asked_for_is_checked_before_the_job(frame):
+    for options in ({"keep": ["n"]}, {"inputs": ["nothing"]}, {"batch_size": 0}):
+        with pytest.raises(ValueError):
+            map_batches(frame.withColumn("n", F.lit(1)), lengths, "n int", **options)
+    with pytest.raises(ValueError, match="either"):
+        map_batches(frame, lengths, "n int", load=lambda: lengths)
+
+
+def test_a_made_column_replaces_one_of_the_same_name(frame):
+    got = map_batches(frame, lambda b: {"f": [0.0] * b.num_rows}, "f double", inputs=["id"])
+    assert got.columns == ["id", "text", "pair", "f"] and {r["f"] for r in rows(got)} == {0.0}

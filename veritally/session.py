@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,3 +64,11 @@ def store_table(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def let_workers_import(spark: SparkSession) -> None:
+    """Python workers look for this package where the driver found it, too."""
+    root, found = str(Path(__file__).parents[1]), spark.sparkContext.environment
+    paths = [p for p in found.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        found["PYTHONPATH"] = os.pathsep.join([root, *paths])
