@@ -12,8 +12,6 @@ from pyspark.sql.types import StructType
 from veritally.sources import csv
 from veritally.sources.schema import require_columns, require_names
 
-CHECKED_LINES = 1000
-
 
 def read_table(
     spark: SparkSession,
@@ -25,7 +23,8 @@ def read_table(
 
     Text formats need a schema: inference would read the whole corpus once more. Its
     columns must stand in the source, in any order: for CSV in the header, which all files
-    must share, for JSON in one of the first lines. A value that doesn't fit its
+    must share, for JSON in some line. JSON writers leave null fields out, so all lines are looked at;
+    their keys are grouped on the map side. A value that doesn't fit its
     type fails the job rather than turning into a null.
     """
     if fmt not in ("json", "csv"):
@@ -35,9 +34,9 @@ def read_table(
     wanted = _struct(spark, schema)
     if fmt == "csv":
         return csv.read_by_name(spark, path, wanted, "corpus").select(*wanted.names)
-    lines = spark.read.text(path).limit(CHECKED_LINES)
-    keys = lines.select(F.explode(F.json_object_keys("value")).alias("key")).distinct().collect()
-    require_names([r["key"] for r in keys], wanted.names, "corpus")
+    keys = spark.read.text(path).select(F.explode(F.json_object_keys("value")).alias("key"))
+    found = keys.where(F.col("key").isin(*wanted.names)).distinct().collect()
+    require_names([r["key"] for r in found], wanted.names, "corpus")
     return spark.read.schema(wanted).option("mode", "FAILFAST").json(path)
 
 
