@@ -1,0 +1,100 @@
+"""Quantiles by digits of the bits, and histograms of fractional measures."""
+
+from __future__ import annotations
+
+import math
+import random
+
+import numpy as np
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from veritally.operators.selection import (
+    describe_fractions,
+    double_of_bits,
+    fractional_histogram,
+    ordered_bits,
+    quantiles,
+)
+
+INF = float("inf")
+
+
+def frame(spark, values, label=0, **more):
+    data = [(label, v) for v in values] + [(k, v) for k, vs in more.items() for v in vs]
+    return spark.createDataFrame([(str(k), v) for k, v in data], "labels string, x double").repartition(3)
+
+
+def many(seed, n=900):
+    pick = random.Random(seed)
+    values = [pick.gauss(0, 1) * 10 ** pick.randrange(-8, 9) for _ in range(n // 2)]
+    values += [0.25] * (n // 3)  # a third of the rows tied
+    return values + [pick.random() for _ in range(n - len(values))]
+
+
+def test_bits_are_in_the_order_of_doubles(spark):
+    values = sorted({*many(1), 0.0, 5e-324, -5e-324, 1.7976931348623157e308, -1.7976931348623157e308, INF, -INF, 1.0})
+    df = spark.createDataFrame([(v,) for v in values], "x double").withColumn("b", ordered_bits(F.col("x")))
+    got = sorted(rows(df.withColumn("back", double_of_bits(F.col("b")))), key=lambda r: r["b"])
+    assert [r["x"] for r in got] == values and all(r["x"] == r["back"] for r in got)
+    zeros = spark.createDataFrame([(0.0,), (-0.0,)], "x double").select(ordered_bits(F.col("x")).alias("b"))
+    assert {r["b"] for r in rows(zeros)} == {0}
+
+
+@pytest.mark.parametrize("seed", [2, 3])
+def test_quantiles_equal_numpy(many_ranges, spark, seed):
+    a, b = many(seed), many(seed + 50, 41)
+    df = frame(spark, a, "a", b=b).withColumn("y", -F.col("x"))
+    wanted = (0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0)
+    got = {(r["labels"], r["measure"], r["p"]): (r["n"], r["quantile"]) for r in rows(quantiles(df, ["x", "y"], wanted))}
+    assert len(got) == 28
+    for name, values in (("a", a), ("b", b)):
+        for p in wanted:
+            assert got[name, "x", p] == (len(values), pytest.approx(np.quantile(values, p), rel=1e-12, abs=1e-300))
+            assert got[name, "y", p][1] == pytest.approx(np.quantile([-v for v in values], p), rel=1e-12, abs=1e-300)
+
+
+def test_undefined_values_take_no_part(spark):
+    df = frame(spark, [None, float("nan"), 1.0, 3.0], "a", b=[None], c=[INF, INF, 2.0])
+    df = df.unionByName(spark.createDataFrame([(None, 5.0)], "labels string, x double"))
+    got = {r["labels"]: (r["n"], r["quantile"]) for r in rows(quantiles(df, ["x"], [0.5]))}
+    assert got == {"a": (2, 2.0), "c": (3, INF), None: (1, 5.0)}
+
+
+def test_describe_equals_pandas(spark):
+    values = many(7)
+    (got,) = rows(describe_fractions(frame(spark, values, "a"), ["x"], digits=3))
+    assert got["count"] == 900 and got["min"] == round(min(values), 3) and got["max"] == round(max(values), 3)
+    assert got["mean"] == pytest.approx(np.mean(values), abs=1e-3)
+    assert got["std"] == pytest.approx(np.std(values, ddof=1), abs=1e-3)
+    assert [got[q] for q in ("q25", "q50", "q75")] == pytest.approx(np.quantile(values, [0.25, 0.5, 0.75]), abs=1e-3)
+    (one,) = rows(describe_fractions(frame(spark, [0.5], "a"), ["x"]))
+    assert one["std"] is None and one["q25"] == one["q75"] == one["mean"] == 0.5
+
+
+@pytest.mark.parametrize("values", [[0.1, 0.2, 0.9], [0.5] * 4, [-1.5, 2.25, 2.25, 0.0], None])
+def test_histogram_equals_numpy(spark, values):
+    values = values or [v for v in many(9) if abs(v) < 10]
+    got = sorted(rows(fractional_histogram(frame(spark, values, "a"), ["x"], 8)), key=lambda r: r["bin"])
+    counts, edges = np.histogram(values, 8)
+    assert [r["bin"] for r in got] == list(range(1, 9))
+    assert [r["n"] for r in got] == counts.tolist()
+    assert [r["bin_start"] for r in got] == pytest.approx(edges[:-1].tolist(), abs=1e-6)
+    assert math.isclose(sum(r["pct"] for r in got), 100, abs_tol=1e-2)
+
+
+def test_no_rows(spark):
+    none = frame(spark, [1.0], "a").limit(0)
+    for found in (quantiles(none, ["x"]), describe_fractions(none, ["x"]), fractional_histogram(none, ["x"], 3)):
+        assert rows(found) == []
+
+
+def test_arguments_are_checked(spark):
+    df = frame(spark, [1.0], "a")
+    with pytest.raises(ValueError, match="between"):
+        quantiles(df, ["x"], [1.5])
+    with pytest.raises(ValueError, match="bin"):
+        fractional_histogram(df, ["x"], 0)
+    with pytest.raises(ValueError, match="lacks"):
+        describe_fractions(df, ["z"])

@@ -22,6 +22,10 @@ from veritally.sources.schema import require_columns
 # Products of counts pass 2^63 at a few billion rows.
 _WIDE = "decimal(38,0)"
 
+# Points of a bounded curve; fewer than this can't be promised for counts of 63 bits.
+DEFAULT_POINTS = 10_000
+FEWEST_POINTS = 200
+
 
 def score_counts(
     scored: DataFrame,
@@ -219,3 +223,56 @@ def pr_curve(running: DataFrame) -> DataFrame:
         ratio_or_null(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
         ratio_or_null(F.col("tp"), F.col("n_pos")).alias("recall"),
     ).unionByName(end)
+
+
+def thinned(running: DataFrame, max_points: int = DEFAULT_POINTS) -> DataFrame:
+    """At most ``max_points`` rows of ``running``, none of the others far from the next one kept.
+
+    Along the curve tp and fp only grow. They are cut in cells: recall and false positive rate in
+    equal steps of 1 / k each, and the counts themselves in g steps per power of two. Of each
+    cell the last point stays (and the first point of the curve). A point that goes lies in the cell of
+    the next one kept, so between the two
+
+    * tpr (recall) and fpr differ by less than 1 / k, and
+    * tp and fp differ by a factor below 1 + 1 / g, hence fp / tp by such a factor, and precision,
+      1 / (1 + fp / tp), by less than 1 / (4 g).
+
+    The cells passed are at most 2 k + g (bits of n_pos + bits of n_neg) + 1, from which k and g
+    follow. A curve that has no more points than allowed keeps all.
+
+    One pass: the last point of a cell is a maximum, which tasks take first and a shuffle of at
+    most ``max_points`` rows per task then merges, also where a cell crosses a border of ranges.
+    """
+    if max_points < FEWEST_POINTS:
+        raise ValueError(f"a bounded curve needs at least {FEWEST_POINTS} points, got {max_points}")
+    steps, per_octave = curve_steps(max_points, F.col("n_pos"), F.col("n_neg"))
+    cell = F.struct(
+        _whole_part(F.col("tp").cast(_WIDE) * steps, F.greatest("n_pos", F.lit(1))).alias("tpr"),
+        _whole_part(F.col("fp").cast(_WIDE) * steps, F.greatest("n_neg", F.lit(1))).alias("fpr"),
+        octave_cell(F.col("tp"), per_octave).alias("tp"),
+        octave_cell(F.col("fp"), per_octave).alias("fp"),
+    )
+    first = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
+    order = F.struct("tp", "fp")
+    cells = running.select(cell.alias("cell"), first.alias("first"), order.alias("order"), F.struct(*running.columns).alias("row"))
+    return cells.groupBy("cell", "first").agg(F.max_by("row", "order").alias("row")).select("row.*")
+
+
+def curve_steps(max_points: int, n_pos: Column, n_neg: Column) -> tuple[Column, Column]:
+    """Steps of tpr and fpr, and steps per power of two of tp and fp, for at most ``max_points`` cells."""
+    bits = F.length(F.bin(n_pos)) + F.length(F.bin(n_neg))
+    left = max_points - 3
+    per_octave = F.greatest(_whole_part(F.lit(left // 2), bits), F.lit(1))
+    return _whole_part(left - per_octave * bits, F.lit(2)), per_octave
+
+
+def octave_cell(count: Column, per_octave: Column) -> Column:
+    """Cells of a count from 0: each power of two is cut in ``per_octave`` equal parts."""
+    bits = F.length(F.bin(count))
+    power = F.pow(F.lit(2.0), bits - 1).cast(_WIDE)
+    part = _whole_part(count.cast(_WIDE) * per_octave, power) - per_octave
+    return F.when(count > 0, bits * per_octave + part).otherwise(0).cast("bigint")
+
+
+def _whole_part(count: Column, of: Column) -> Column:
+    return F.call_function("div", count, of)
