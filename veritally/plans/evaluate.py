@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -16,15 +16,23 @@ from veritally.operators.confusion import (
     operating_point_row,
     sweep_by_position,
 )
-from veritally.operators.curves import average_precision, pr_curve, roc_curve, running_counts
+from veritally.operators.curves import (
+    DEFAULT_POINTS,
+    average_precision,
+    pr_curve,
+    roc_curve,
+    running_counts,
+    thinned,
+)
 from veritally.operators.mistakes import top_mistakes
 from veritally.operators.prepare import clean_rows, map_labels
 from veritally.operators.slices import error_slices, text_facts
 from veritally.operators.splits import TEST, VALIDATION
+from veritally.operators.user_metrics import Metric, evaluate_metrics
 from veritally.plans.prepare import split_corpus
 from veritally.plans.scoring import Scorer, score_texts
 from veritally.session import store_table
-from veritally.sinks.reports import slices_document, write_csv, write_json
+from veritally.sinks.reports import ReportSet, slices_document, write_csv, write_json
 
 
 @dataclass(frozen=True)
@@ -56,30 +64,37 @@ def evaluate(
     n_top: int = 50,
     key: str = "doc_id",
     text: str = "text",
+    max_points: int = DEFAULT_POINTS,
+    user_metrics: Mapping[str, Metric] | None = None,
 ) -> Evaluation:
     """Write all reports on scored rows under ``out_dir``.
 
     ``texts`` is where the texts of the worst mistakes are read from. Give the
-    corpus itself, or they come from the plan behind ``scored``.
+    corpus itself, or they come from the plan behind ``scored``. A curve with more than
+    ``max_points`` points is thinned. ``user_metrics`` need logits and get a report of their own.
+
+    Reports are published together as the last step; until then, and if anything fails,
+    the set of the run before stays the current one.
     """
-    # The names of the reports.
     table = store_scored(scored, key, text)
-    running = store_table(running_counts(table), "running_counts")
-    reports = {
-        name: f"{out_dir.rstrip('/')}/{name}"
-        for name in (
-            f"eval_{split}_metrics.json",
-            f"threshold_metrics_{split}.csv",
-            f"threshold_summary_{split}.json",
-            f"error_slices_{split}.json",
-            "misclassified.csv",
-            f"roc_curve_{split}.csv",
-            f"pr_curve_{split}.csv",
-            f"average_precision_{split}.json",
-        )
-    }
-    metrics, sweep, summary, slices, mistakes, roc, pr, ap = reports.values()
     logits = "logits" if "logits" in table.columns else None
+    if user_metrics and not logits:
+        raise ValueError("user metrics take logits, and the scorer gives none")
+    running = store_table(running_counts(table), "running_counts")
+    # The names of the reports.
+    names = [
+        f"eval_{split}_metrics.json",
+        f"threshold_metrics_{split}.csv",
+        f"threshold_summary_{split}.json",
+        f"error_slices_{split}.json",
+        "misclassified.csv",
+        f"roc_curve_{split}.csv",
+        f"pr_curve_{split}.csv",
+        f"average_precision_{split}.json",
+    ]
+    own = f"user_metrics_{split}.json"
+    reports = ReportSet(table.sparkSession, out_dir, [*names, own] if user_metrics else names)
+    metrics, sweep, summary, slices, mistakes, roc, pr, ap = (reports.paths[n] for n in names)
     write_json(metrics_with_running_counts(table, running, threshold, logits=logits), metrics)
     points = sweep_by_position(table, grid).persist()  # as many rows as thresholds
     try:
@@ -93,12 +108,17 @@ def evaluate(
         top_mistakes(table, scored if texts is None else texts, n_top, threshold, key, text=text),
         mistakes,
     )
-    # Part files follow the curve: ROC from (0, 0), precision-recall to its end point.
-    roc_points = roc_curve(running, drop_collinear=True)
+    few = running.limit(max_points + 1).count() <= max_points
+    curve = running if few else store_table(thinned(running, max_points), "curve")
+    # Part files follow the curve: ROC from (0, 0), precision-recall to its end point. Steps
+    # between thinned points are no steps of the curve, so corners are only sought on the whole one.
+    roc_points = roc_curve(curve, drop_collinear=few)
     write_csv(roc_points.orderBy(F.col("threshold").desc_nulls_first()), roc)
-    write_csv(pr_curve(running).orderBy(F.col("threshold").asc_nulls_last()), pr)
+    write_csv(pr_curve(curve).orderBy(F.col("threshold").asc_nulls_last()), pr)
     write_json(average_precision(running), ap)
-    return Evaluation(table, reports)
+    if user_metrics:
+        write_json(evaluate_metrics(table, user_metrics), reports.paths[own])
+    return Evaluation(table, reports.publish())
 
 
 def run_evaluation(
@@ -119,6 +139,8 @@ def run_evaluation(
     seed: int = 42,
     present: Collection[str] | None = None,
     texts: DataFrame | None = None,
+    max_points: int = DEFAULT_POINTS,
+    user_metrics: Mapping[str, Metric] | None = None,
 ) -> Evaluation:
     """Split, clean, map labels, score one split and evaluate it.
 
@@ -134,4 +156,15 @@ def run_evaluation(
     labelled = map_labels(clean_rows(rows, text, label), label)
     scored = score_texts(labelled, scorer, threshold, normalize, text)
     source = rows if texts is None else texts
-    return evaluate(scored, out_dir, split, threshold, grid, source, key=key, text=text)
+    return evaluate(
+        scored,
+        out_dir,
+        split,
+        threshold,
+        grid,
+        source,
+        key=key,
+        text=text,
+        max_points=max_points,
+        user_metrics=user_metrics,
+    )
