@@ -10,15 +10,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from veritally.functions.hashing import hash32
 from veritally.functions.scores import class_name, fixture_probability, toxic_probability
 from veritally.functions.text import normalize_text
-from veritally.operators import confusion, curves, encode, mistakes, predict, probes, profile
+from veritally.operators import align, confusion, curves, encode, mistakes, predict, probes, profile
 from veritally.operators import prepare as prep
-from veritally.operators import slices, splits
+from veritally.operators import selection, slices, splits
+from veritally.operators.batch_map import map_batches
+from veritally.operators.user_metrics import evaluate_metrics
 from veritally.plans.evaluate import run_evaluation
 from veritally.plans.model import ModelScorer, Training, load_model, save_model, train_classifier
 from veritally.plans.prepare import prepare_rows, split_corpus
@@ -35,6 +39,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 THRESHOLD = 0.5
 ENCODED_LENGTH = 128
 VOCABULARY = 5000
+LARGE_VOCABULARY = 400_000
+CURVE_POINTS = 200
 
 
 # Inputs -------------------------------------------------------------------------
@@ -100,6 +106,15 @@ def q_corpus_csv_round_trip(spark, sf_dir):
     return read_table(spark, path, "csv", "doc_id long, text string, toxicity int")
 
 
+def q_corpus_csv_ranges(spark, sf_dir):
+    """One file with line ends inside its fields, read in byte ranges."""
+    path = scratch_path(spark, "corpus_csv_ranges")
+    write_csv(corpus(spark, sf_dir, "text", "source").coalesce(1), path)
+    wanted = StructType([StructField("doc_id", LongType()), StructField("text", StringType()),
+                         StructField("source", StringType()), StructField("toxicity", IntegerType())])
+    return csv.read_by_name(spark, path, wanted, "corpus", whole_file_bytes=0)
+
+
 def q_corpus_json_round_trip(spark, sf_dir):
     path = scratch_path(spark, "corpus_json")
     corpus(spark, sf_dir, "text").write.json(path)
@@ -257,6 +272,39 @@ def q_pr_curve(spark, sf_dir):
     return curves.pr_curve(curves.running_counts(scored(spark, sf_dir)))
 
 
+def q_pr_curve_bounded(spark, sf_dir):
+    return curves.pr_curve(curves.thinned(curves.running_counts(scored(spark, sf_dir)), CURVE_POINTS))
+
+
+def q_roc_curve_bounded(spark, sf_dir):
+    return curves.roc_curve(curves.thinned(curves.running_counts(scored(spark, sf_dir)), CURVE_POINTS))
+
+
+def _score_table(spark, sf_dir) -> DataFrame:
+    """Fixture scores of labelled documents as a table of its own, with all that can be wrong.
+
+    Every tenth document has no score, every 25th has two, and unlabelled documents have one too.
+    """
+    given = scored(spark, sf_dir).select("doc_id", "toxic_prob").where(F.col("doc_id") % 10 != 3)
+    again = given.where(F.col("doc_id") % 25 == 1)
+    others = documents(spark, sf_dir).select("doc_id", F.lit(0.5).alias("toxic_prob"))
+    known = labels(spark, sf_dir).select("doc_id")
+    return given.unionByName(again).unionByName(others.join(known, "doc_id", "left_anti"))
+
+
+def _alignment(spark, sf_dir) -> align.Alignment:
+    rows = labelled(spark, sf_dir, "lang")
+    return align.align_scores(rows, _score_table(spark, sf_dir), allowed=("missing", "orphan", "double"))
+
+
+def q_align_rows(spark, sf_dir):
+    return _alignment(spark, sf_dir).rows
+
+
+def q_align_problems(spark, sf_dir):
+    return _alignment(spark, sf_dir).problems
+
+
 def q_misclassified_topk(spark, sf_dir):
     return mistakes.top_mistakes(scored(spark, sf_dir), documents(spark, sf_dir))
 
@@ -314,6 +362,28 @@ def q_length_histogram(spark, sf_dir):
     return profile.histogram(_lengths(spark, sf_dir), profile.MEASURES, bins=50, label="labels")
 
 
+def _with_length_score(spark, sf_dir) -> DataFrame:
+    """The fixture score, and a second fraction: words a character."""
+    words = profile.word_length(F.col("text")) / F.greatest(F.length("text"), F.lit(1))
+    return scored(spark, sf_dir, words.alias("words_per_char"))
+
+
+def q_score_stats(spark, sf_dir):
+    return selection.describe_fractions(_with_length_score(spark, sf_dir), ["toxic_prob", "words_per_char"])
+
+
+def q_score_quantiles(spark, sf_dir):
+    """Of a score with a third of all rows on one value."""
+    tied = F.when(F.col("doc_id") % 3 == 0, 0.3).otherwise(F.col("toxic_prob"))
+    rows = scored(spark, sf_dir).withColumn("toxic_prob", tied)
+    found = selection.quantiles(rows, ["toxic_prob"], (0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0))
+    return found.withColumn("quantile", F.round("quantile", 9))
+
+
+def q_score_histogram(spark, sf_dir):
+    return selection.fractional_histogram(scored(spark, sf_dir), ["toxic_prob"], 20)
+
+
 def q_token_counts(spark, sf_dir):
     return encode.with_token_counts(documents(spark, sf_dir)).select("doc_id", "n_tokens")
 
@@ -346,6 +416,101 @@ def q_encode_fixed_length(spark, sf_dir):
     )
 
 
+def q_encode_large_vocabulary(spark, sf_dir):
+    """All tokens of the documents and a number for every fifth of a line item: too many for a plan."""
+    rows = prepare_rows(corpus(spark, sf_dir, "text"))
+    every = prep.normalize_column(documents(spark, sf_dir).select("doc_id", "text"))
+    words = encode.build_vocabulary(every, LARGE_VOCABULARY).select("token", "id")
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    number = F.col("l_orderkey") * 40 + F.col("l_linenumber") * 5 + F.col("fifth")
+    numbers = items.select("l_orderkey", "l_linenumber", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("fifth"))
+    numbers = numbers.select(number.cast("string").alias("token"), (number + LARGE_VOCABULARY + 4).cast("int").alias("id"))
+    # The small tables hold fewer tokens than a plan does; here they are joined at every size.
+    encoded = encode.encode_fixed_length(rows, words.unionByName(numbers), ENCODED_LENGTH, largest_constant=0)
+    return encoded.select(
+        "doc_id",
+        "labels",
+        F.array_join("input_ids", " ").alias("input_ids"),
+        F.array_join("attention_mask", " ").alias("attention_mask"),
+    )
+
+
+# A caller's own functions -------------------------------------------------------
+
+
+def _text_facts(batch):
+    """What a caller may want to know of texts: a count, a ratio, and a text made of another."""
+    texts = batch.column("text").to_pylist()
+    digits = [None if t is None else sum(c in "0123456789" for c in t) for t in texts]
+    return {
+        "n_digits": digits,
+        "digit_ratio": [None if not t else d / len(t) for t, d in zip(texts, digits)],
+        "initials": [None if t is None else "".join(w[0] for w in t.split(" ")[:10] if w) for t in texts],
+    }
+
+
+def q_batch_map(spark, sf_dir):
+    return map_batches(
+        documents(spark, sf_dir).select("doc_id", "lang", "text"),
+        _text_facts,
+        "n_digits long, digit_ratio double, initials string",
+        inputs=["text"],
+        keep=["doc_id", "lang"],
+    )
+
+
+class LogLoss:
+    """The mean negative log of the probability of the true class, by softmax, and the rows."""
+
+    names = ("mean", "rows")
+
+    def init(self):
+        return 0.0, 0
+
+    def update(self, state, logits, labels):
+        top = logits.max(axis=1)
+        total = top + np.log(np.exp(logits - top[:, None]).sum(axis=1))
+        return state[0] + float((total - logits[np.arange(len(labels)), labels]).sum()), state[1] + len(labels)
+
+    def merge(self, left, right):
+        return left[0] + right[0], left[1] + right[1]
+
+    def finish(self, state):
+        return {"mean": state[0] / state[1] if state[1] else None, "rows": float(state[1])}
+
+
+class Calibration:
+    """The largest gap between stated and true share of toxic rows, over tenths of the probability."""
+
+    names = ("largest_gap",)
+
+    def init(self):
+        return np.zeros((10, 3))
+
+    def update(self, state, logits, labels):
+        p = 1 / (1 + np.exp(logits[:, 0] - logits[:, 1]))
+        tenth = np.minimum((p * 10).astype(int), 9)
+        found = state.copy()
+        for i, values in enumerate((np.ones(len(p)), p, labels)):
+            found[:, i] += np.bincount(tenth, values, 10)
+        return found
+
+    def merge(self, left, right):
+        return left + right
+
+    def finish(self, state):
+        filled = state[state[:, 0] > 0]
+        gaps = np.abs(filled[:, 1] - filled[:, 2]) / filled[:, 0]
+        return {"largest_gap": float(gaps.max()) if len(gaps) else None}
+
+
+def q_user_metrics(spark, sf_dir):
+    rows = with_logits(scored(spark, sf_dir))
+    found = evaluate_metrics(rows, {"log_loss": LogLoss(), "calibration": Calibration()})
+    # exp and the order of the sums may differ in the last digits between engines.
+    return found.select(*[F.round(c, 6).alias(c) for c in found.columns])
+
+
 # Models -------------------------------------------------------------------------
 
 _trained: dict[tuple[str, str], tuple[Training, str]] = {}
@@ -371,6 +536,45 @@ def q_train_classifier(spark, sf_dir):
     return _training(spark, sf_dir)[0].table(spark)
 
 
+def _solvable_training(spark: SparkSession, sf_dir: str) -> tuple[Training, DataFrame]:
+    """A fit whose solution is known: one word per text, the language, and no regularisation.
+
+    The probability of a word is then the share of toxic rows that have it. Labels are drawn by a
+    hash, 80 % toxic for English and 25 % for others, so that no share is 0 or 1.
+    """
+    toxic = hash32(F.col("doc_id"), "coin") % 100 < F.when(F.col("lang") == "en", 80).otherwise(25)
+    rows = split_labelled(spark, sf_dir, "lang").select(
+        "doc_id", "split", F.col("lang").alias("text"), toxic.cast("int").alias("labels")
+    )
+    return train_classifier(rows, reg_params=(0.0,), n_features=4096, max_iter=200), rows
+
+
+def q_train_solvable(spark, sf_dir):
+    """What was learned for each language against what it must be."""
+    training, rows = _solvable_training(spark, sf_dir)
+    found = ModelScorer(training.model)(rows.where(F.col("split") == splits.TRAIN))
+    counts = found.groupBy(F.col("text").alias("lang")).agg(
+        F.count(F.lit(1)).alias("n_train"),
+        F.count_if(F.col("labels") == 1).alias("n_toxic"),
+        F.min("toxic_prob").alias("low"),
+        F.max("toxic_prob").alias("high"),
+    )
+    share = F.col("n_toxic") / F.col("n_train")
+    learned = (F.col("low") == F.col("high")) & (F.abs(F.col("low") - share) < 0.002)
+    return counts.select("lang", "n_train", "n_toxic", learned.alias("share_learned"))
+
+
+def q_sink_train_metrics_solvable(spark, sf_dir):
+    """The metrics of that fit on the validation split, written and read back."""
+    training, rows = _solvable_training(spark, sf_dir)
+    validation = ModelScorer(training.model)(rows.where(F.col("split") == splits.VALIDATION))
+    path = scratch_path(spark, "train_metrics")
+    # Equal shares differ in the last digits of the fit, which would break ties of the AUC.
+    write_json(confusion.core_metrics(validation.withColumn("toxic_prob", F.round("toxic_prob", 4))), path)
+    schema = "accuracy double, precision double, recall double, f1 double, roc_auc double"
+    return spark.read.schema(schema).json(path)
+
+
 def q_model_score(spark, sf_dir):
     rows = score_texts(documents(spark, sf_dir).select("doc_id", "text"), _scorer(spark, sf_dir))
     return rows.select("doc_id", "error_code", *predict.RECORD)
@@ -522,9 +726,10 @@ def q_sink_eval_metrics(spark, sf_dir):
 
 def q_eval_metrics_at_0_3(spark, sf_dir):
     """Log-odds as logits and a threshold that isn't one half."""
-    inside = scored(spark, sf_dir).where("toxic_prob > 0 AND toxic_prob < 1")
     p = F.col("toxic_prob")
-    rows = inside.withColumn("logits", F.array(F.lit(0.0), F.log(p / (1 - p))))
+    # Certain rows get large logits: their odds have no logarithm.
+    odds = F.when(p <= 0, -40.0).when(p >= 1, 40.0).otherwise(F.log(F.try_divide(p, 1 - p)))
+    rows = scored(spark, sf_dir).withColumn("logits", F.array(F.lit(0.0), odds))
     found = confusion.evaluation_metrics(rows, 0.3)
     return found.select("confusion_matrix.*", "threshold_used")
 

@@ -93,6 +93,52 @@ running AS (
   WINDOW w AS (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 )"""
 
+# The last point of each cell; the number of cells follows from 200 points.
+_CELLS = f"""{_RUNNING},
+bits AS (SELECT *, length(bin(p_all::BIGINT)) + length(bin(n_all::BIGINT)) AS bits FROM running),
+steps AS (SELECT *, greatest(98 // bits, 1)::BIGINT AS g FROM bits),
+cells AS (
+  SELECT *, (197 - g * bits) // 2 AS k, length(bin(tp::BIGINT)) AS tp_bits, length(bin(fp::BIGINT)) AS fp_bits
+  FROM steps
+),
+kept AS (
+  SELECT * FROM cells QUALIFY row_number() OVER (
+    PARTITION BY (rn = 1), tp * k // greatest(p_all, 1), fp * k // greatest(n_all, 1),
+      CASE WHEN tp > 0 THEN tp_bits * g + tp * g // (1::HUGEINT << (tp_bits - 1)::HUGEINT) - g ELSE 0 END,
+      CASE WHEN fp > 0 THEN fp_bits * g + fp * g // (1::HUGEINT << (fp_bits - 1)::HUGEINT) - g ELSE 0 END
+    ORDER BY tp + fp DESC) = 1
+)"""
+
+_SCORE_TABLE = f"""{_LABELLED},
+given AS (SELECT doc_id, toxic_prob FROM scored WHERE doc_id % 10 <> 3),
+score_table AS (
+  SELECT * FROM given UNION ALL SELECT * FROM given WHERE doc_id % 25 = 1
+  UNION ALL SELECT doc_id, 0.5::DOUBLE FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
+),
+keys AS (
+  SELECT doc_id, count(r) AS n_rows, count(s) AS n_scores FROM (
+    SELECT doc_id, 1 AS r, NULL::INT AS s FROM labelled UNION ALL SELECT doc_id, NULL, 1 FROM score_table)
+  GROUP BY 1
+),
+named AS (
+  SELECT doc_id, CASE WHEN n_rows > 1 OR n_scores > 1 THEN 'double' WHEN n_scores = 0 THEN 'missing'
+    WHEN n_rows = 0 THEN 'orphan' ELSE 'aligned' END AS status, n_rows, n_scores FROM keys
+)"""
+
+_SOLVABLE = f"""{_SPLIT},
+drawn AS (
+  SELECT doc_id, split, lang,
+    ({_hash32("doc_id", "coin")} % 100 < CASE WHEN lang = 'en' THEN 80 ELSE 25 END)::INT AS y FROM split_rows
+),
+shares AS (
+  SELECT lang, count(*) AS n_train, count(*) FILTER (WHERE y = 1) AS n_toxic FROM drawn
+  WHERE split = 'train' GROUP BY 1
+),
+judged AS (
+  SELECT y, n_toxic::DOUBLE / n_train::DOUBLE AS p,
+    round(n_toxic::DOUBLE / n_train::DOUBLE, 4) AS score FROM drawn JOIN shares USING (lang) WHERE split = 'validation'
+)"""
+
 _AUC = """
 auc AS (
   SELECT sum(CASE WHEN p.toxic_prob > n.toxic_prob THEN 2
@@ -202,7 +248,7 @@ vocabulary AS (
         GROUP BY 1 ORDER BY n DESC, token LIMIT 5000)
 )"""
 
-_ENCODED = f"""WITH {_VOCABULARY},
+_LOOKED_UP = """
 positions AS (
   SELECT doc_id, unnest(toks[1:126]) AS token, generate_subscripts(toks[1:126], 1) AS pos FROM clean
 ),
@@ -219,6 +265,29 @@ SELECT doc_id, labels,
     AS attention_mask
 FROM framed"""
 
+_ENCODED = f"WITH {_VOCABULARY}, {_LOOKED_UP}"
+
+_ENCODED_BY_ALL = f"""WITH {_LABELLED},
+clean AS (
+  SELECT doc_id, labels, {_TOKENS.format(_NORMAL.format("text"))} AS toks FROM labelled
+),
+words AS (
+  SELECT token, count(*) AS n
+  FROM (SELECT unnest({_TOKENS.format(_NORMAL.format("text"))}) AS token FROM documents) GROUP BY 1
+),
+ranked AS (
+  SELECT token, row_number() OVER (ORDER BY n DESC, token) + 3 AS id FROM words
+),
+numbers AS (
+  SELECT l_orderkey * 40 + l_linenumber * 5 + unnest(range(0, 5)) AS number FROM lineitem
+),
+vocabulary AS (
+  SELECT token, min(id)::INT AS id FROM (
+    SELECT token, id FROM ranked WHERE id <= 400003
+    UNION ALL SELECT number::VARCHAR, number + 400004 FROM numbers)
+  GROUP BY 1
+), {_LOOKED_UP}"""
+
 
 def _record(prob: str, threshold: float) -> str:
     hit = f"{prob} >= {threshold}::DOUBLE"
@@ -372,6 +441,68 @@ SELECT count(*) FILTER (WHERE n_tokens <= 128) AS n_within, count(*) AS n_texts,
 FROM doc_tokens""",
     "build_vocab": f"WITH {_VOCABULARY} SELECT token, n, id FROM vocabulary",
     "encode_fixed_length": _ENCODED,
+    "encode_large_vocabulary": _ENCODED_BY_ALL,
+    "corpus_csv_ranges": f"""WITH {_LABELLED}
+SELECT doc_id, text, source, labels AS toxicity FROM labelled""",
+    "pr_curve_bounded": f"""WITH {_CELLS}
+SELECT score AS threshold, tp::DOUBLE / (tp + fp)::DOUBLE AS precision, {_ratio("tp", "p_all")} AS recall
+FROM kept UNION ALL SELECT NULL, 1.0::DOUBLE, 0.0::DOUBLE""",
+    "roc_curve_bounded": f"""WITH {_CELLS}
+SELECT score AS threshold, {_ratio("fp", "n_all")} AS fpr, {_ratio("tp", "p_all")} AS tpr FROM kept
+UNION ALL SELECT NULL, 0.0::DOUBLE, 0.0::DOUBLE""",
+    "align_rows": f"""WITH {_SCORE_TABLE}
+SELECT doc_id, lang, labels, toxic_prob FROM named JOIN labelled USING (doc_id) JOIN score_table USING (doc_id)
+WHERE status = 'aligned'""",
+    "align_problems": f"WITH {_SCORE_TABLE} SELECT * FROM named WHERE status <> 'aligned'",
+    "score_stats": f"""WITH {_LABELLED},
+fractions AS (
+  SELECT labels, 'toxic_prob' AS measure, toxic_prob AS v FROM scored
+  UNION ALL SELECT labels, 'words_per_char', {_WORDS}::DOUBLE / greatest(length(text), 1)::DOUBLE FROM labelled)
+SELECT labels, measure, count(*) AS count, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS std,
+  round(min(v), 6) AS min, round(quantile_cont(v, 0.25), 6) AS q25, round(quantile_cont(v, 0.5), 6) AS q50,
+  round(quantile_cont(v, 0.75), 6) AS q75, round(max(v), 6) AS max
+FROM fractions GROUP BY 1, 2""",
+    "score_quantiles": f"""WITH {_LABELLED},
+tied AS (SELECT labels, CASE WHEN doc_id % 3 = 0 THEN 0.3::DOUBLE ELSE toxic_prob END AS v FROM scored),
+found AS (
+  SELECT labels, count(*) AS n, quantile_cont(v, [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]) AS q FROM tied GROUP BY 1)
+SELECT labels, 'toxic_prob' AS measure, n, unnest([0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0])::DOUBLE AS p,
+  round(unnest(q), 9) AS quantile FROM found""",
+    "score_histogram": f"""WITH {_LABELLED},
+ends AS (SELECT labels, min(toxic_prob) AS lo, max(toxic_prob) AS hi, count(*) AS total FROM scored GROUP BY 1),
+placed AS (
+  SELECT labels, least(floor((toxic_prob - lo) / (hi - lo) * 20)::BIGINT + 1, 20) AS bin, count(*) AS n
+  FROM scored JOIN ends USING (labels) GROUP BY 1, 2),
+frame AS (SELECT labels, lo, (hi - lo) / 20 AS w, total, unnest(range(1, 21)) AS bin FROM ends)
+SELECT labels, 'toxic_prob' AS measure, bin::BIGINT AS bin, round(lo + (bin - 1) * w, 6) AS bin_start,
+  round(lo + bin * w, 6) AS bin_end, coalesce(n, 0)::BIGINT AS n,
+  round(100 * (coalesce(n, 0)::DOUBLE / total::DOUBLE), 4) AS pct
+FROM frame LEFT JOIN placed USING (labels, bin)""",
+    "train_solvable": f"WITH {_SOLVABLE} SELECT lang, n_train, n_toxic, TRUE AS share_learned FROM shares",
+    "sink_train_metrics_solvable": f"""WITH {_SOLVABLE},
+counts AS (
+  SELECT count(*) AS n, count(*) FILTER (WHERE y = 1 AND p > 0.5) AS tp,
+    count(*) FILTER (WHERE y = 0 AND p > 0.5) AS fp, count(*) FILTER (WHERE y = 1 AND p <= 0.5) AS fn,
+    count(*) FILTER (WHERE y = 0 AND p <= 0.5) AS tn FROM judged),
+pairs AS (
+  SELECT sum(CASE WHEN a.score > b.score THEN 2 WHEN a.score = b.score THEN 1 ELSE 0 END)::DOUBLE
+    / (2 * count(*))::DOUBLE AS roc_auc FROM judged a JOIN judged b ON a.y = 1 AND b.y = 0)
+SELECT {_ratio("tp + tn", "n")} AS accuracy, {_ratio("tp", "tp + fp", "0.0")} AS precision,
+  {_ratio("tp", "tp + fn", "0.0")} AS recall, {_ratio("2 * tp", "2 * tp + fp + fn", "0.0")} AS f1, roc_auc
+FROM counts, pairs""",
+    "batch_map": """SELECT doc_id, lang, length(regexp_replace(text, '[^0-9]', '', 'g')) AS n_digits,
+  CASE WHEN text <> '' THEN length(regexp_replace(text, '[^0-9]', '', 'g'))::DOUBLE / length(text)::DOUBLE
+    END AS digit_ratio,
+  array_to_string([w[1] FOR w IN string_split(text, ' ')[1:10] IF w <> ''], '') AS initials FROM documents""",
+    "user_metrics": f"""WITH {_LABELLED},
+stated AS (
+  SELECT labels, 1.0::DOUBLE / (1 + exp((1 - toxic_prob) - toxic_prob)) AS p FROM scored),
+tenths AS (
+  SELECT least(floor(p * 10)::INT, 9) AS tenth, abs(sum(p) - sum(labels)) / count(*)::DOUBLE AS gap
+  FROM stated GROUP BY 1)
+SELECT round(avg(-ln(CASE WHEN labels = 1 THEN p ELSE 1 - p END)), 6) AS log_loss_mean,
+  count(*)::DOUBLE AS log_loss_rows, round((SELECT max(gap) FROM tenths), 6) AS calibration_largest_gap
+FROM stated""",
     "udf_score": f"""WITH clean AS (SELECT doc_id, {_NORMAL.format("text")} AS t FROM documents),
 shares AS (SELECT doc_id,
   length(regexp_replace(t, '[^aeiou]', '', 'g'))::DOUBLE / length(t)::DOUBLE AS p FROM clean)
@@ -400,13 +531,12 @@ classes AS (SELECT count(*) FILTER (WHERE labels = 1) AS n_pos,
 SELECT g / 10.0::DOUBLE AS threshold, n_pos, n_neg, TRUE AS recall_falls
 FROM classes, range(1, 10) AS grid(g)""",
     "reload_scores": "SELECT doc_id, TRUE AS same_score FROM documents",
-    "eval_metrics_at_0_3": f"""WITH {_LABELLED},
-inside AS (SELECT * FROM scored WHERE toxic_prob > 0 AND toxic_prob < 1)
+    "eval_metrics_at_0_3": f"""WITH {_LABELLED}
 SELECT count(*) FILTER (WHERE labels = 1 AND toxic_prob >= 0.3) AS tp,
   count(*) FILTER (WHERE labels = 0 AND toxic_prob >= 0.3) AS fp,
   count(*) FILTER (WHERE labels = 0 AND toxic_prob < 0.3) AS tn,
   count(*) FILTER (WHERE labels = 1 AND toxic_prob < 0.3) AS fn, 0.3::DOUBLE AS threshold_used
-FROM inside""",
+FROM scored""",
     "corpus_csv_round_trip": f"""WITH {_LABELLED}
 SELECT doc_id, text, labels AS toxicity FROM labelled""",
     "corpus_json_round_trip": f"""WITH {_LABELLED}
