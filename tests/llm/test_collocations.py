@@ -84,10 +84,8 @@ def test_no_rows_and_no_words(spark):
     assert C.collocations(docs).collect() == []
 
 
-def stripes_of(pairs, names, slots, known=1):
-    columns = [np.array(c, np.int64) for c in zip(*pairs)]
-    none = np.zeros(len(pairs), np.int64)
-    return list(C._stripes([[columns[0], none, none, columns[1]]], known, names, slots))
+def stripes_of(pairs, names, slots):
+    return list(C._stripes([[np.array(c, np.int64) for c in zip(*pairs)]], 1, names, slots))
 
 
 def test_heavy_prefixes_are_cut_in_slots_and_long_stripes_in_rows():
@@ -97,8 +95,8 @@ def test_heavy_prefixes_are_cut_in_slots_and_long_stripes_in_rows():
     rows = batch.to_pylist()
     assert {r["slot"] for r in rows if r["w1"] == 7} == {0, 1, 2, 3}
     assert {r["slot"] for r in rows if r["w1"] != 7} == {0}
-    assert max(len(r["nexts"]) for r in rows) <= C.ROW_ENTRIES
-    found = {(r["w1"], n): c for r in rows for n, c in zip(r["nexts"], r["counts"])}
+    assert max(len(r["next1"]) for r in rows) <= C.ROW_ENTRIES
+    found = {(r["w1"], n): c for r in rows for n, c in zip(r["next1"], r["counts"])}
     assert found == Counter(pairs)
 
 
@@ -109,15 +107,17 @@ def test_stripes_merge_across_batches():
     none = np.array([], np.uint64)
     rows = [r for p in parts for b in stripes_of(p, none, none) for r in b.to_pylist()]
     rows.sort(key=lambda r: (r["w1"], r["slot"]))
-    kinds = {c: pa.int64() for c in C._PREFIX} | {c: pa.list_(pa.int64()) for c in ("nexts", "counts")}
+    kinds = {c: pa.int64() for c in ("w1", "slot")} | {c: pa.list_(pa.int64()) for c in ("next1", "counts")}
     batches = [pa.RecordBatch.from_pylist(rows[i : i + 3], pa.schema(kinds)) for i in range(0, len(rows), 3)]
-    found = [r for b in C._merge_task(6)(iter(batches)) for r in b.to_pylist()]
+    found = [r for b in C._merge_task(1, (2,), 6)(iter(batches)) for r in b.to_pylist()]
     expected = {p: c for p, c in Counter(pairs).items() if c >= 6}
     assert {(r["w1"], r["w2"]): r["f"] for r in found} == expected and len(found) == len(expected)
     assert all(r["w3"] == r["w4"] == 0 for r in found)
 
 
-def test_phrases_of_two_words_only(spark):
+def test_phrases_of_two_and_three_words_only(spark):
     docs = spark.createDataFrame([("a b c a b", "en")] * 2, "text string, lang string")
     found = C.collocations(docs, least=2, most_words=2).collect()
     assert sorted((r.phrase, r.a) for r in found) == [("a b", 4), ("b c", 2), ("c a", 2)]
+    found = C.collocations(docs, least=2, most_words=3).collect()
+    assert sorted((r.phrase, r.a) for r in found) == [("a b", 4), ("a b c", 2), ("b c a", 2), ("c a b", 2)]

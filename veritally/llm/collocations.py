@@ -1,10 +1,10 @@
 """Phrases whose words stand together more often than apart, by stripes.
 
-A stripe belongs to a prefix and counts the words that come next. Tasks build the stripes of their
+A stripe belongs to a prefix and counts what comes next. Tasks build the stripes of their
 texts, equal prefixes meet by a shuffle and their stripes are merged element by element. First come
-prefixes of one word, then all longer ones: an entry is the count of a phrase, which is also
-the total of the prefix one word longer, and the largest entry that a phrase has as a prefix
-or as an ending decides whether a longer phrase subsumes it.
+prefixes of one word with the next word, then pairs with the next word and the next two: an
+entry is the count of a phrase, which is also the total of a longer prefix, and the largest
+entry that a phrase has as a prefix or as an ending decides whether a longer phrase subsumes it.
 
 Words travel as 64-bit numbers that are checked to be different for all different words. A
 phrase can't be frequent unless its words are and each two neighbours are, so tasks leave out what
@@ -48,9 +48,6 @@ PROBES = 3
 
 _U = np.uint64
 _W = [f"w{i}" for i in range(1, MOST_WORDS + 1)]
-#: Word numbers of a prefix, 0 behind its last word, and the slot of its stripe.
-_PREFIX = [*_W[:-1], "slot"]
-_STRIPE = ", ".join(f"{c} long" for c in _PREFIX) + ", nexts array<long>, counts array<long>"
 _PHRASE = ", ".join(f"{c} long" for c in [*_W, "f"])
 
 BREAK = np.zeros(256, bool)
@@ -108,9 +105,10 @@ def frequent_phrases(
             shorter = levels[-1]
             table = (_bit_table(shorter, known), _heavy(shorter, known, total))
             shared = rows.sparkSession.sparkContext.broadcast(table)
-            stripes = rows.mapInArrow(_stripe_task(shared, known, sizes, seed), _STRIPE)
-            merged = stripes.repartition(*_PREFIX).sortWithinPartitions(*_PREFIX)
-            levels.append(store_table(merged.mapInArrow(_merge_task(least), _PHRASE), "phrases"))
+            stripes = rows.mapInArrow(_stripe_task(shared, known, sizes, seed), _stripe_schema(known, sizes))
+            prefix = [*_W[:known], "slot"]
+            merged = stripes.repartition(*prefix).sortWithinPartitions(*prefix)
+            levels.append(store_table(merged.mapInArrow(_merge_task(known, sizes, least), _PHRASE), "phrases"))
             shared.unpersist()
     return words, reduce(DataFrame.unionByName, levels)
 
@@ -338,10 +336,22 @@ def _summed(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndar
     return [c[heads] for c in columns], np.add.reduceat(counts[order], heads)
 
 
+def _next_columns(known: int, sizes: tuple[int, ...]) -> list[str]:
+    """What comes after a prefix, word by word; 0 behind the last word of a phrase."""
+    return [f"next{i + 1}" for i in range(max(sizes) - known)]
+
+
+def _stripe_schema(known: int, sizes: tuple[int, ...]) -> str:
+    """Words of the prefix, the slot of the stripe, and its entries."""
+    entries = [*_next_columns(known, sizes), "counts"]
+    return ", ".join([f"{c} long" for c in [*_W[:known], "slot"]] + [f"{c} array<long>" for c in entries])
+
+
 def _stripe_task(shared, known: int, sizes: tuple[int, ...], seed: int):
     """Stripes of the phrases of these sizes, merged over the slices of a task in portions.
 
-    The bit table has the frequent phrases of ``known`` words. All parts of that length must be in it.
+    Prefixes have ``known`` words, and so have the phrases of the bit table. All parts of a phrase
+    of that length must be in it.
     """
 
     def phrases(found: Words, table: np.ndarray) -> list[np.ndarray]:
@@ -356,8 +366,7 @@ def _stripe_task(shared, known: int, sizes: tuple[int, ...], seed: int):
                 at = at[found.follows[at + i]]
             for i in range(size - known + 1):
                 at = at[sifted[at + i]]
-            prefix = [numbers[at + i] if i < size - 1 else np.zeros(len(at), np.int64) for i in range(len(_W) - 1)]
-            rows.append([*prefix, numbers[at + size - 1]])
+            rows.append([numbers[at + i] if i < size else np.zeros(len(at), np.int64) for i in range(max(sizes))])
         return [np.concatenate(c) for c in zip(*rows)]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -380,38 +389,37 @@ def _stripe_task(shared, known: int, sizes: tuple[int, ...], seed: int):
 
 
 def _stripes(gathered: list, known: int, names: np.ndarray, slots: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Stripes of gathered phrases. A prefix has slots if its first ``known`` words are heavy."""
+    """Stripes of gathered phrases. Heavy prefixes have slots, which follow from the next word."""
     columns = [np.concatenate(c) for c in zip(*gathered)]
     if len(columns[0]) == 0:
         return
-    prefix, following = columns[:-1], columns[-1]
-    slot = np.zeros(len(following), np.int64)
+    prefix, following = columns[:known], columns[known:]
+    slot = np.zeros(len(columns[0]), np.int64)
     if len(names):
-        hashed = gram_hashes(prefix[:known])
+        hashed = gram_hashes(prefix)
         at = np.minimum(np.searchsorted(names, hashed), len(names) - 1)
         cut = names[at] == hashed
-        slot[cut] = (mix(following[cut].view(_U)) % slots[at[cut]]).astype(np.int64)
-    keys, counts = _summed([*prefix, slot, following], np.ones(len(slot), np.int64))
-    (heads,) = _heads(*keys[:-1])
+        slot[cut] = (mix(following[0][cut].view(_U)) % slots[at[cut]]).astype(np.int64)
+    keys, counts = _summed([*prefix, slot, *following], np.ones(len(slot), np.int64))
+    (heads,) = _heads(*keys[: known + 1])
     place = np.arange(len(counts)) - np.repeat(heads, np.diff(np.r_[heads, len(counts)]))
     rows = np.flatnonzero(place % ROW_ENTRIES == 0)
     offsets = pa.array(np.r_[rows, len(counts)].astype(np.int32))
-    batch = {c: k[rows] for c, k in zip(_PREFIX, keys)}
-    batch["nexts"] = pa.ListArray.from_arrays(offsets, pa.array(keys[-1]))
-    batch["counts"] = pa.ListArray.from_arrays(offsets, pa.array(counts))
+    batch = {c: k[rows] for c, k in zip([*_W[:known], "slot"], keys)}
+    for i, entries in enumerate([*keys[known + 1 :], counts]):
+        name = f"next{i + 1}" if i < len(following) else "counts"
+        batch[name] = pa.ListArray.from_arrays(offsets, pa.array(entries))
     yield pa.record_batch(batch)
 
 
-def _merge_task(least: int):
+def _merge_task(known: int, sizes: tuple[int, ...], least: int):
     """Elementwise sums of the stripes of a prefix, which come one after another; frequent entries."""
+    prefix, nexts = [*_W[:known], "slot"], _next_columns(known, sizes)
 
     def frequent(keys: list[np.ndarray], counts: np.ndarray) -> pa.RecordBatch:
         kept = counts >= least
-        *prefix, _, following = [k[kept] for k in keys]
-        words = []
-        for i, w in enumerate([*prefix, np.zeros_like(following)]):
-            first = (w == 0) & (prefix[i - 1] != 0)  # the place behind the last word of the prefix
-            words.append(np.where(first, following, w))
+        words = [k[kept] for k in keys[:known] + keys[known + 1 :]]
+        words += [np.zeros(int(kept.sum()), np.int64)] * (len(_W) - len(words))
         return pa.record_batch(dict(zip(_W, words)) | {"f": counts[kept]})
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -419,15 +427,14 @@ def _merge_task(least: int):
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            nexts, counts = _column(batch, "nexts"), _column(batch, "counts")
-            lengths = nexts.value_lengths().to_numpy()
-            keys = [np.repeat(_column(batch, c).to_numpy(), lengths) for c in _PREFIX]
-            keys.append(nexts.flatten().to_numpy())
-            sums = counts.flatten().to_numpy()
+            lengths = _column(batch, "counts").value_lengths().to_numpy()
+            keys = [np.repeat(_column(batch, c).to_numpy(), lengths) for c in prefix]
+            keys += [_column(batch, c).flatten().to_numpy() for c in nexts]
+            sums = _column(batch, "counts").flatten().to_numpy()
             if held:
                 keys = [np.concatenate(pair) for pair in zip(held[0], keys)]
                 sums = np.concatenate([held[1], sums])
-            last = np.logical_and.reduce([k == k[-1] for k in keys[:-1]])
+            last = np.logical_and.reduce([k == k[-1] for k in keys[: known + 1]])
             done = ~last
             if done.any():
                 yield frequent(*_summed([k[done] for k in keys], sums[done]))
