@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veritally.llm import bpe, language, lines, mixing, neardup, queries
@@ -21,8 +21,13 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that were there before; those of which no word is left go."""
-    kept = lines.remove_repeated_lines(docs, keep=tuple(docs.columns))
+    """Documents without lines that were there before; those of which no word is left go.
+
+    Before means by doc_id. An id that several texts share names none of them, and null names
+    nothing; such texts stand in the order of a hash. Rows with one id and one text are one place.
+    """
+    rows, name = _with_names(docs)
+    kept = lines.remove_repeated_lines(rows, key=name, keep=tuple(docs.columns))
     some = kept.where((F.col("n_removed") == 0) | F.col("kept_text").rlike(mixing.WORD))
     changed = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
     same = F.col("n_removed") == 0
@@ -43,29 +48,49 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     them; each of these texts is classed by itself. Rows with one id and one text are one document.
     """
     queries.let_workers_import(spark)
-    rows = _with_rows(docs)
-    classes = neardup.near_duplicate_classes(rows, key="_row").select("_row", "class_id").distinct()
-    ids = rows.select("_row", "doc_id").distinct()
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
-    first = classes.join(ids.hint("merge"), "_row").groupBy("class_id").agg(F.min(order)["_row"].alias("_row"))
-    kept = rows.join(first.select("_row").hint("merge"), "_row")
-    one = F.min(F.struct(F.col("doc_id").isNull().alias("_none"), *docs.columns)).alias("one")
-    return kept.groupBy("_row").agg(one).select(*[F.col(f"one.{c}") for c in docs.columns])
-
-
-def _with_rows(docs: DataFrame) -> DataFrame:
-    """Documents with _row, which belongs to one text: the doc_id, or a hash of the text.
-
+    rows, name = _with_names(docs)
+    classes = store_table(neardup.near_duplicate_classes(rows, key=name).select(name, "class_id"), "classes")
+    ids = rows.select(name, "doc_id").distinct()
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", name)
+    members = classes.distinct().join(ids.hint("merge"), name)
+    first = members.groupBy("class_id").agg(F.min(order)[name].alias(name))
+    kept = rows.join(first.select(name).hint("merge"), name)
+    repeated = store_table(classes.groupBy(name).count().where("count > 1").select(name), "repeated")
+    if repeated.isEmpty():
+        return kept.select(*docs.columns)
+    # Texts are only brought together where a whole row repeats.
+    alone = kept.join(repeated.hint("merge"), name, "left_anti").select(*docs.columns)
+    one = F.min(F.struct(*[F.struct(F.col(c).isNull(), c) for c in docs.columns]))
+    several = kept.join(repeated.hint("merge"), name, "left_semi").groupBy(name).agg(one.alias("_one"))
+    parts = [F.col(f"_one.col{i + 1}.{c}").alias(c) for i, c in enumerate(docs.columns)]
+    return alone.unionByName(several.select(*parts))
+
+
+def _with_names(docs: DataFrame) -> tuple[DataFrame, str]:
+    """Documents with a column that names one text each, and its name: the doc_id, or a hash.
+
+    Hashes are from 2^62 on, so that texts without an id of their own come after the others.
     Documents are only joined with the ids of several texts if there are any.
     """
+    name = "_row"
+    while name in docs.columns:
+        name = f"_{name}"
     text = F.xxhash64(F.coalesce("text", F.lit("")))
     texts = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(text).alias("low"), F.max(text).alias("high"))
-    shared = store_table(texts.where("low <> high").select(F.col("doc_id").alias("shared_id")), "shared_ids")
+    shared = store_table(texts.where("low <> high").select(F.col("doc_id").alias("_shared")), "shared_ids")
+    own = F.col("doc_id").cast("long")
+    no_id = _late(text)
     if shared.isEmpty():
-        return docs.withColumn("_row", F.coalesce(F.col("doc_id").cast("long"), text))
-    named = docs.join(shared.hint("merge"), F.col("doc_id") == F.col("shared_id"), "left")
-    own = F.when(F.col("shared_id").isNull(), F.col("doc_id").cast("long"))
-    return store_table(named.withColumn("_row", F.coalesce(own, text)).drop("shared_id"), "near_rows")
+        return docs.withColumn(name, F.coalesce(own, no_id)), name
+    named = docs.join(shared.hint("merge"), F.col("doc_id") == F.col("_shared"), "left")
+    # Texts of a shared id get a hash of both, since other rows may have the text under their own id.
+    of_two = F.when(F.col("_shared").isNotNull(), _late(F.xxhash64(F.lit("shared"), "doc_id", "text")))
+    return store_table(named.withColumn(name, F.coalesce(of_two, own, no_id)).drop("_shared"), "named_rows"), name
+
+
+def _late(hashed: Column) -> Column:
+    half = 1 << 62
+    return hashed.bitwiseAND(F.lit(half - 1)).bitwiseOR(F.lit(half))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
