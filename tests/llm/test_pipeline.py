@@ -10,6 +10,7 @@ from pathlib import Path
 
 import pytest
 from compare import connect, difference
+from pyspark.sql import functions as F
 from test_dedup import lines_by_hand, near_classes_by_hand
 from test_operators import spell, targets_by_hand
 
@@ -95,6 +96,46 @@ def test_stages_keep_the_columns_and_take_no_rows(spark, raw):
         assert stage(spark, docs, raw[0]).count() == 0
 
 
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def rows_of(pairs):
+    return [(i, t, "aa", "s", None if t is None else len(t)) for i, t in pairs]
+
+
+def test_lines_of_texts_that_share_an_id(spark):
+    a = [f"alpha {k} of the first" for k in range(3)]
+    own = [f"own {k} of the second" for k in range(3)]
+    third = [f"third {k} for itself" for k in range(3)]
+    long_line = " ".join(f"l{k}" for k in range(60))
+    pairs = [(1, "\n".join(a)), (5, "\n".join([own[0], a[0], a[1], *own[1:]])), (5, "\n".join(third))]
+    pairs += [(None, f"{third[0]}\n{long_line}"), (None, f"none\n{a[1]}\n{a[2]}"), (9, f"x\n{long_line}\ny"), (9, None)]
+    docs = spark.createDataFrame(rows_of(pairs), DOCUMENTS).withColumn("_row", F.lit(3))
+    for parts in (1, 4):
+        kept = corpus_pipeline.drop_repeated_lines(spark, docs.repartition(parts), "")
+        assert kept.dtypes == docs.dtypes
+        got = [(r.doc_id, r.text) for r in kept.collect()]
+        assert (1, "\n".join(a)) in got  # the smallest id is the first place
+        assert (5, "\n".join(own)) in got and (5, "\n".join(third)) in got  # nothing of the third text goes
+        assert (None, "none") in got or any(t.startswith("none") and i is None for i, t in got)
+        whole = [t for _, t in got if t and long_line in t]
+        assert len(whole) == 1  # a long line stays once, wherever its text has its place
+        assert (9, None) in got and len(got) == 7
+
+
+def test_run_with_shared_and_without_ids(spark, tmp_path):
+    """Nothing that is clean gets lost, whatever the ids."""
+    texts = [spell(f"run-{i}", "abcdefgh" if i % 2 else "stuvwxyz", 40) for i in range(60)]
+    pairs = [(i, t) for i, t in enumerate(texts[:40])] + [(None, t) for t in texts[40:50]] + [(7, t) for t in texts[50:]]
+    data = [(i, t, "aa" if texts.index(t) % 2 else "zz", "s", len(t)) for i, t in pairs]
+    spark.createDataFrame(data, DOCUMENTS).write.parquet(str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        docs = corpus_pipeline.store_table(stage(spark, docs, str(tmp_path)), name)
+    assert sorted(r.text for r in docs.collect()) == sorted(texts)
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() >= 60
+
+
 def test_near_duplicates_keep_one_of_each_class_without_or_with_shared_ids(spark):
     texts = [spell(f"null-{i}", "abcdefgh", 80) for i in range(9)]
     near = [f"{t} {' '.join(t.split()[-3:])}" for t in texts]
@@ -123,7 +164,7 @@ def test_query_equals_sql(spark, name):
 @given_tables
 def test_all_are_registered():
     names = set(driver.queries())
-    assert {f"op{n}" for n in range(1, 11)} <= {x.split("_")[0] for x in names} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {x.split("_")[0] for x in names} and "pipeline" in names
 
 
 @given_tables
