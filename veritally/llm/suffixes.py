@@ -36,7 +36,7 @@ SHALLOW = 48
 CHUNK = 1 << 23
 _PLACE = np.uint64((1 << 24) - 1)
 #: Stretches of one owner that are sorted together; more are dealt to several groups.
-GROUP = 1024
+GROUP = 1 << 14
 #: Stretches of small groups that a task sorts at a time.
 AT_ONCE = 4096
 _STRETCH = "owner long, stretch long, row long, start int, n int"
@@ -67,6 +67,8 @@ def repeated_byte_spans(
     rows = _rows(docs, key, text)
     owners = rows.mapInArrow(_owner_task(window, head, gram), "owner long")
     known = owners.groupBy("owner").agg(F.count(F.lit(1)).alias("places")).where("places > 1")
+    # Stored, so that both sides of the join come from a shuffle and Spark may split a hot owner.
+    known = store_table(known, "owners")
     found = rows.mapInArrow(_stretch_task(window, head, gram), _STRETCH)
     shared = store_table(found.join(known.select("owner").hint("merge"), "owner"), "stretches")
     place = F.min(F.struct("row", "start", "n")).alias("place")
@@ -294,6 +296,16 @@ def equal_classes(suffixes: Suffixes) -> np.ndarray:
     return found
 
 
+def _equal_among(suffixes: Suffixes) -> np.ndarray:
+    """:func:`equal_classes`, without sorting what a hash shows to be unlike all others."""
+    data = np.frombuffer(suffixes.raw, np.uint8)
+    _, which, times = np.unique(hash_ranges(data, suffixes.starts, suffixes.ends), return_inverse=True, return_counts=True)
+    some = np.flatnonzero(times[which] > 1)
+    first = np.arange(len(suffixes))
+    first[some] = some[equal_classes(Suffixes(data[:-8], suffixes.starts[some], suffixes.ends[some]))]
+    return first
+
+
 def digests(suffixes: Suffixes) -> np.ndarray:
     """64-bit digests of the suffixes, each distinct one taken once."""
     first = equal_classes(suffixes)
@@ -446,7 +458,7 @@ def _border_windows(group: pa.Table, window: int) -> pa.RecordBatch:
     offset = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
     at = edges[which] + offset
     suffixes = Suffixes(data, at, at + window)
-    first = equal_classes(suffixes)
+    first = _equal_among(suffixes)
     repeated = np.bincount(first, minlength=len(first))[first] > 1
     hit = repeated & once[which]
     begins = np.flatnonzero(hit & ~np.r_[False, hit[:-1] & (which[1:] == which[:-1])])
