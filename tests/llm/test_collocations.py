@@ -84,20 +84,25 @@ def test_no_rows_and_no_words(spark):
     assert C.collocations(docs).collect() == []
 
 
-def stripes_of(pairs, names, slots):
-    return list(C._stripes([[np.array(c, np.int64) for c in zip(*pairs)]], 1, names, slots))
+def stripes_of(pairs, names, slots, buckets):
+    return list(C._stripes([[np.array(c, np.int64) for c in zip(*pairs)]], 1, names, slots, buckets))
 
 
-def test_heavy_prefixes_are_cut_in_slots_and_long_stripes_in_rows():
+def entries_of(rows):
+    return {(w, n): c for r in rows for w, n, c in zip(r["w1"], r["next1"], r["counts"])}
+
+
+def test_heavy_prefixes_are_cut_in_slots_and_buckets_in_rows():
     pairs = [(7, i) for i in range(3000) for _ in range(1 + i % 2)] + [(8, 1), (8, 1), (9, 2)]
     heavy = C.gram_hashes([np.array([7], np.int64)])
-    (batch,) = stripes_of(pairs, heavy, np.array([4], np.uint64))
+    (batch,) = stripes_of(pairs, heavy, np.array([4], np.uint64), 10**6)
     rows = batch.to_pylist()
-    assert {r["slot"] for r in rows if r["w1"] == 7} == {0, 1, 2, 3}
-    assert {r["slot"] for r in rows if r["w1"] != 7} == {0}
-    assert max(len(r["next1"]) for r in rows) <= C.ROW_ENTRIES
-    found = {(r["w1"], n): c for r in rows for n, c in zip(r["next1"], r["counts"])}
-    assert found == Counter(pairs)
+    assert max(len(r["counts"]) for r in rows) <= C.ROW_ENTRIES
+    assert entries_of(rows) == Counter(pairs)
+    of = {w: {r["bucket"] for r in rows if w in r["w1"]} for w in (7, 8, 9)}
+    assert len(of[7]) == 4 and len(of[8]) == len(of[9]) == 1
+    (one,) = stripes_of(pairs, heavy, np.array([4], np.uint64), 1)
+    assert {r["bucket"] for r in one.to_pylist()} == {0} and entries_of(one.to_pylist()) == Counter(pairs)
 
 
 def test_stripes_merge_across_batches():
@@ -105,9 +110,9 @@ def test_stripes_merge_across_batches():
     pairs = [(1 + pick.randrange(4), pick.randrange(1, 40)) for _ in range(900)]
     parts = [pairs[i::5] for i in range(5)]
     none = np.array([], np.uint64)
-    rows = [r for p in parts for b in stripes_of(p, none, none) for r in b.to_pylist()]
-    rows.sort(key=lambda r: (r["w1"], r["slot"]))
-    kinds = {c: pa.int64() for c in ("w1", "slot")} | {c: pa.list_(pa.int64()) for c in ("next1", "counts")}
+    rows = [r for p in parts for b in stripes_of(p, none, none, 3) for r in b.to_pylist()]
+    rows.sort(key=lambda r: r["bucket"])
+    kinds = {"bucket": pa.int64()} | {c: pa.list_(pa.int64()) for c in ("w1", "next1", "counts")}
     batches = [pa.RecordBatch.from_pylist(rows[i : i + 3], pa.schema(kinds)) for i in range(0, len(rows), 3)]
     found = [r for b in C._merge_task(1, (2,), 6)(iter(batches)) for r in b.to_pylist()]
     expected = {p: c for p, c in Counter(pairs).items() if c >= 6}

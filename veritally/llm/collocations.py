@@ -37,10 +37,12 @@ UNKNOWN = "und"
 SLICE = 1 << 20
 #: Entries that a task gathers before it merges and sends them.
 GATHERED = 1 << 20
-#: Entries of one row of a stripe; longer ones take several rows.
+#: Entries of one row. Stripes travel packed, those of a bucket of prefixes together.
 ROW_ENTRIES = 64
-#: Prefixes that begin with this share of all words or pairs get their stripe cut in slots; such words
-#: and such pairs are 1,000 at most.
+#: Words of the corpus for each bucket, so that buckets have a size that doesn't grow with it.
+BUCKET_WORDS = 1 << 16
+#: Prefixes with this share of all words have their stripe cut in slots, which go to buckets of their
+#: own; such words and such pairs are 1,000 at most.
 HEAVY = 1000
 #: The bit table of frequent phrases: 8 MB.
 TABLE_BITS = 1 << 26
@@ -105,9 +107,9 @@ def frequent_phrases(
             shorter = levels[-1]
             table = (_bit_table(shorter, known), _heavy(shorter, known, total))
             shared = rows.sparkSession.sparkContext.broadcast(table)
-            stripes = rows.mapInArrow(_stripe_task(shared, known, sizes, seed), _stripe_schema(known, sizes))
-            prefix = [*_W[:known], "slot"]
-            merged = stripes.repartition(*prefix).sortWithinPartitions(*prefix)
+            buckets = total // BUCKET_WORDS + 1
+            stripes = rows.mapInArrow(_stripe_task(shared, known, sizes, seed, buckets), _stripe_schema(known, sizes))
+            merged = stripes.repartition("bucket").sortWithinPartitions("bucket")
             levels.append(store_table(merged.mapInArrow(_merge_task(known, sizes, least), _PHRASE), "phrases"))
             shared.unpersist()
     return words, reduce(DataFrame.unionByName, levels)
@@ -342,12 +344,12 @@ def _next_columns(known: int, sizes: tuple[int, ...]) -> list[str]:
 
 
 def _stripe_schema(known: int, sizes: tuple[int, ...]) -> str:
-    """Words of the prefix, the slot of the stripe, and its entries."""
-    entries = [*_next_columns(known, sizes), "counts"]
-    return ", ".join([f"{c} long" for c in [*_W[:known], "slot"]] + [f"{c} array<long>" for c in entries])
+    """The bucket, and per entry of its stripes the prefix, what comes next, and the count."""
+    entries = [*_W[:known], *_next_columns(known, sizes), "counts"]
+    return ", ".join(["bucket long"] + [f"{c} array<long>" for c in entries])
 
 
-def _stripe_task(shared, known: int, sizes: tuple[int, ...], seed: int):
+def _stripe_task(shared, known: int, sizes: tuple[int, ...], seed: int, buckets: int):
     """Stripes of the phrases of these sizes, merged over the slices of a task in portions.
 
     Prefixes have ``known`` words, and so have the phrases of the bit table. All parts of a phrase
@@ -380,45 +382,48 @@ def _stripe_task(shared, known: int, sizes: tuple[int, ...], seed: int):
                 mine = langs.slice(part.rows.start, len(part.rows))
                 gathered.append(phrases(Words(part, mine, seed), table))
                 if sum(len(g[0]) for g in gathered) >= GATHERED:
-                    yield from _stripes(gathered, known, names, slots)
+                    yield from _stripes(gathered, known, names, slots, buckets)
                     gathered = []
         if gathered:
-            yield from _stripes(gathered, known, names, slots)
+            yield from _stripes(gathered, known, names, slots, buckets)
 
     return task
 
 
-def _stripes(gathered: list, known: int, names: np.ndarray, slots: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Stripes of gathered phrases. Heavy prefixes have slots, which follow from the next word."""
+def _stripes(
+    gathered: list, known: int, names: np.ndarray, slots: np.ndarray, buckets: int
+) -> Iterator[pa.RecordBatch]:
+    """Stripes of gathered phrases, packed by bucket. Slots of heavy prefixes follow from the next word."""
     columns = [np.concatenate(c) for c in zip(*gathered)]
     if len(columns[0]) == 0:
         return
-    prefix, following = columns[:known], columns[known:]
-    slot = np.zeros(len(columns[0]), np.int64)
+    hashed = gram_hashes(columns[:known])
     if len(names):
-        hashed = gram_hashes(prefix)
         at = np.minimum(np.searchsorted(names, hashed), len(names) - 1)
         cut = names[at] == hashed
-        slot[cut] = (mix(following[0][cut].view(_U)) % slots[at[cut]]).astype(np.int64)
-    keys, counts = _summed([*prefix, slot, *following], np.ones(len(slot), np.int64))
-    (heads,) = _heads(*keys[: known + 1])
+        slot = mix(columns[known][cut].view(_U)) % slots[at[cut]]
+        with np.errstate(over="ignore"):
+            hashed[cut] = mix(hashed[cut] + slot * _U(0x9E3779B97F4A7C15))
+    bucket = (hashed % _U(buckets)).astype(np.int64)
+    (bucket, *entries), counts = _summed([bucket, *columns], np.ones(len(bucket), np.int64))
+    (heads,) = _heads(bucket)
     place = np.arange(len(counts)) - np.repeat(heads, np.diff(np.r_[heads, len(counts)]))
     rows = np.flatnonzero(place % ROW_ENTRIES == 0)
     offsets = pa.array(np.r_[rows, len(counts)].astype(np.int32))
-    batch = {c: k[rows] for c, k in zip([*_W[:known], "slot"], keys)}
-    for i, entries in enumerate([*keys[known + 1 :], counts]):
-        name = f"next{i + 1}" if i < len(following) else "counts"
-        batch[name] = pa.ListArray.from_arrays(offsets, pa.array(entries))
+    batch = {"bucket": bucket[rows]}
+    for i, values in enumerate([*entries, counts]):
+        name = _W[i] if i < known else f"next{i - known + 1}" if i < len(entries) else "counts"
+        batch[name] = pa.ListArray.from_arrays(offsets, pa.array(values))
     yield pa.record_batch(batch)
 
 
 def _merge_task(known: int, sizes: tuple[int, ...], least: int):
-    """Elementwise sums of the stripes of a prefix, which come one after another; frequent entries."""
-    prefix, nexts = [*_W[:known], "slot"], _next_columns(known, sizes)
+    """Elementwise sums of the stripes of a bucket, which come one after another; frequent entries."""
+    names = [*_W[:known], *_next_columns(known, sizes)]
 
     def frequent(keys: list[np.ndarray], counts: np.ndarray) -> pa.RecordBatch:
         kept = counts >= least
-        words = [k[kept] for k in keys[:known] + keys[known + 1 :]]
+        words = [k[kept] for k in keys[1:]]
         words += [np.zeros(int(kept.sum()), np.int64)] * (len(_W) - len(words))
         return pa.record_batch(dict(zip(_W, words)) | {"f": counts[kept]})
 
@@ -428,17 +433,16 @@ def _merge_task(known: int, sizes: tuple[int, ...], least: int):
             if batch.num_rows == 0:
                 continue
             lengths = _column(batch, "counts").value_lengths().to_numpy()
-            keys = [np.repeat(_column(batch, c).to_numpy(), lengths) for c in prefix]
-            keys += [_column(batch, c).flatten().to_numpy() for c in nexts]
+            keys = [np.repeat(_column(batch, "bucket").to_numpy(), lengths)]
+            keys += [_column(batch, c).flatten().to_numpy() for c in names]
             sums = _column(batch, "counts").flatten().to_numpy()
             if held:
                 keys = [np.concatenate(pair) for pair in zip(held[0], keys)]
                 sums = np.concatenate([held[1], sums])
-            last = np.logical_and.reduce([k == k[-1] for k in keys[: known + 1]])
-            done = ~last
+            done = keys[0] != keys[0][-1]
             if done.any():
                 yield frequent(*_summed([k[done] for k in keys], sums[done]))
-            held = _summed([k[last] for k in keys], sums[last])
+            held = _summed([k[~done] for k in keys], sums[~done])
         if held:
             yield frequent(*held)
 
