@@ -72,3 +72,12 @@ def let_workers_import(spark: SparkSession) -> None:
     paths = [p for p in found.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         found["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
+def release(spark: SparkSession) -> None:
+    """Have the driver collect its garbage, and with it what finished jobs have left.
+
+    Spark frees plans, broadcasts and shuffle files of tables that nobody refers to only then. A loop
+    of small jobs makes little garbage on the heap and so leaves many of them behind.
+    """
+    spark.sparkContext._jvm.System.gc()
