@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritally.session import store_table
+from veritally.session import release, store_table
 
 
 def connected_components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
@@ -13,7 +13,8 @@ def connected_components(links: DataFrame, left: str = "a", right: str = "b") ->
 
     Every node points to the least node seen among its neighbours' pointers, then pointers
     are halved by following them once, so chains close in logarithmically many
-    rounds. Each round is stored: a lost executor costs that round at most. Null nodes are left
+    rounds. Each round is stored: a lost executor costs that round at most, and the driver drops
+    what the rounds before have left. Null nodes are left
     out, loops and repeated links do no harm, and no links give no rows.
     """
     both = links.select(F.col(left).alias("node"), F.col(right).alias("other"))
@@ -35,6 +36,7 @@ def connected_components(links: DataFrame, left: str = "a", right: str = "b") ->
             "node", F.least("other", "theirs").alias("component"), "old"
         )
         moved = store_table(halved, "labels")
+        release(links.sparkSession)
         if moved.where("component <> old").isEmpty():
             return moved.select("node", "component")
         labels = moved.select("node", "component")
