@@ -8,6 +8,7 @@ are multiplied out into tables per byte pair, so a window costs a few lookups pe
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from veritally.llm.words import Slice, slices
+from veritally.session import store_table
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -25,6 +27,7 @@ EMBEDDING = 8
 UNKNOWN = "und"
 SAMPLE_PER_LANGUAGE = 400
 SAMPLE_WINDOWS = 6
+BUCKET_BITS = 16
 STEPS = 500
 BATCH = 64
 WINDOWS_AT_ONCE = 64
@@ -90,18 +93,12 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def train(texts: list[bytes], labels: list[str], seed: int = 7, steps: int = STEPS) -> ByteNetwork:
-    """Train on windows of labelled texts; languages are drawn equally often."""
+def train(windows: list[bytes], labels: list[str], seed: int = 7, steps: int = STEPS) -> ByteNetwork:
+    """Train on labelled windows of at most WINDOW bytes; languages are drawn equally often."""
     languages = sorted(set(labels))
     random = np.random.default_rng(seed)
-    windows, target = [], []
-    for text, label in zip(texts, labels):
-        cut = cut_windows(np.frombuffer(text, np.uint8), np.array([0, len(text)]))[0]
-        if len(cut) > SAMPLE_WINDOWS:
-            cut = cut[np.sort(random.choice(len(cut), SAMPLE_WINDOWS, replace=False))]
-        windows.append(cut)
-        target += [languages.index(label)] * len(cut)
-    x, y = np.concatenate(windows), np.array(target)
+    x = np.frombuffer(b"".join(w.ljust(WINDOW, b"\0") for w in windows), np.uint8).reshape(-1, WINDOW)
+    y = np.array([languages.index(label) for label in labels])
     by_language = [np.flatnonzero(y == i) for i in range(len(languages))]
     f, d = FILTERS, EMBEDDING
     weights = {
@@ -182,26 +179,60 @@ def cut_windows(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def is_held_out(key) -> F.Column:
-    return (F.crc32(F.col(key).cast("string").cast("binary")) % 5) == 0
+    """Whether a key is kept from training; a null key, which never trains, isn't held out."""
+    return F.coalesce((F.crc32(F.col(key).cast("string").cast("binary")) % 5) == 0, F.lit(False))
 
 
 def labelled_sample(
     docs: DataFrame, key: str, text: str, label: str, per_language: int = SAMPLE_PER_LANGUAGE
 ) -> list[tuple[bytes, str]]:
-    """At most ``per_language`` labelled texts of each language, at most 64 KB of each.
+    """Windows of at most ``per_language`` labelled texts of each language, with the language.
 
-    Held-out keys, null keys, null labels and texts without letters are never picked. Which
-    rows are picked follows a hash of the key, so it doesn't depend on the order of rows.
+    Of each text at most SAMPLE_WINDOWS windows are drawn, from the whole of it, where it is read; only
+    windows reach the driver. Held-out keys, null keys, null labels and texts without
+    letters are never picked. Which rows are picked follows a hash of the key, so it doesn't
+    depend on the order of rows: rows are counted in buckets of the hash, and only the
+    buckets that hold the first ``per_language`` are ranked.
     """
-    fit = docs.where(F.col(label).isNotNull() & ~is_held_out(key) & F.col(text).rlike(r"\p{L}"))
-    draw = F.xxhash64(F.lit("sample"), F.col(key))
-    turn = F.row_number().over(Window.partitionBy(label).orderBy(draw, F.col(key)))
-    picked = fit.select(F.col(key).alias("key"), F.col(label).alias("label"), turn.alias("turn"))
-    picked = picked.where(F.col("turn") <= per_language).select(F.col("key").alias("picked")).distinct()
-    rows = fit.join(F.broadcast(picked), F.col(key) == F.col("picked"))
-    head = F.substring(F.col(text).cast("binary"), 1, 65536)
-    sample = rows.select(F.col(key).alias("key"), head.alias("text"), F.col(label).cast("string").alias("label"))
-    return [(bytes(r.text), r.label) for r in sample.orderBy("key", "label", "text").collect()]
+    usable = F.col(key).isNotNull() & F.col(label).isNotNull() & ~is_held_out(key) & F.col(text).rlike(r"\p{L}")
+    fit = docs.where(usable).select(
+        F.col(key).alias("key"), F.col(label).cast("string").alias("label"), F.col(text).alias("text")
+    )
+    draw = F.xxhash64(F.lit("sample"), F.col("key"))
+    drawn = fit.select("key", "label", draw.alias("draw"), F.shiftrightunsigned(draw, 64 - BUCKET_BITS).alias("bucket"))
+    upto = Window.partitionBy("label").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = drawn.groupBy("label", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    first = counts.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0)))
+    last = first.where(F.col("before") < per_language).groupBy("label").agg(F.max("bucket").alias("last"))
+    turn = F.row_number().over(Window.partitionBy("label").orderBy("draw", "key"))
+    near = drawn.join(last, "label").where(F.col("bucket") <= F.col("last")).withColumn("turn", turn)
+    picked = store_table(near.where(F.col("turn") <= per_language).select("key", "label").distinct(), "language_sample")
+    # As many rows as languages times the sample of one, all of which the driver holds anyway.
+    rows = fit.join(F.broadcast(picked), ["key", "label"])
+    sample = rows.mapInArrow(_sample_task, "key string, label string, windows array<binary>")
+    found = sample.orderBy("label", "key", "windows").collect()
+    return [(bytes(w), r.label) for r in found for w in r.windows]
+
+
+def _sample_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Windows of a text, picked by a random sequence of its own bytes."""
+    for batch in batches:
+        texts, picked = batch.column("text"), []
+        for part in slices(texts):
+            windows, text, used = cut_windows(part.data, part.edges)
+            first = np.searchsorted(text, np.arange(len(part.rows) + 1))
+            for i, (a, b) in enumerate(zip(first[:-1], first[1:])):
+                body = part.data[part.edges[i] : part.edges[i + 1]].tobytes()
+                random = np.random.default_rng(zlib.crc32(body))
+                at = np.sort(random.choice(b - a, min(SAMPLE_WINDOWS, b - a), replace=False)) + a
+                picked.append([windows[j, : used[j]].tobytes() for j in at])
+        yield pa.record_batch(
+            {
+                "key": batch.column("key").cast(pa.string()),
+                "label": batch.column("label"),
+                "windows": pa.array(picked, pa.list_(pa.binary())),
+            }
+        )
 
 
 def train_on(docs: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "lang") -> ByteNetwork | None:
@@ -209,7 +240,7 @@ def train_on(docs: DataFrame, *, key: str = "doc_id", text: str = "text", label:
     sample = labelled_sample(docs, key, text, label)
     if not sample:
         return None
-    return train([t for t, _ in sample], [label for _, label in sample])
+    return train([window for window, _ in sample], [label for _, label in sample])
 
 
 def identify(
