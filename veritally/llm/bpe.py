@@ -1,8 +1,8 @@
 """BPE encoding through a table of distinct words, and decoding through a table of pieces.
 
 Words are split and counted in Spark. The most frequent ones, a fixed number, are encoded
-once and broadcast. Every other distinct word meets its other places in one partition, is
-encoded once there, and its ids go back to the document and the position. Texts
+once and broadcast. Every other distinct word meets its other places in one partition (a long word
+in several), is encoded once there, and its ids go back to the document and the position. Texts
 themselves are never shuffled: documents travel as compressed word codes with holes.
 """
 
@@ -16,10 +16,11 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from veritally.llm.words import Slice, hash_ranges, slices
+from veritally.session import store_table
 
 FREQUENT = 1 << 19
 LONGEST_FREQUENT = 64
@@ -166,6 +167,8 @@ class FrequentWords:
     def of(encoded: pa.Table, tokenizer: Tokenizer) -> FrequentWords:
         """From the rows of :func:`frequent_words`."""
         hashes = encoded["hash"].to_numpy().view(np.uint64)
+        falling = np.lexsort((hashes, -encoded["n"].to_numpy()))  # small codes for frequent words
+        encoded, hashes = encoded.take(falling), hashes[falling]
         order = np.argsort(hashes)
         special = sorted(tokenizer.special.values())
         length = pc.binary_length(encoded["ids"]).to_numpy() // 4
@@ -200,10 +203,12 @@ class FrequentWords:
 def frequent_words(
     docs: DataFrame, tokenizer: Tokenizer, text: str = "text", most: int = FREQUENT
 ) -> DataFrame:
-    """Hash and ids of at most ``most`` words, by falling count over all documents.
+    """Hash, ids and count n of at most ``most`` words, those with the largest counts over all documents.
 
-    Words above 64 bytes are left out, so the table has a bound on its size. It is encoded in a
-    task; what the driver takes to broadcast are hashes and ids.
+    The least count that still fits is found from the number of words with each count; words
+    with that count or more are taken, so none is sorted. Words above 64 bytes are left out, so the
+    table has a bound on its size. It is encoded in tasks; what the driver takes to
+    broadcast are hashes, ids and counts.
 
     A slice of a megabyte passes on what stands there twice or more. That only decides which
     words are broadcast, never how one is encoded.
@@ -211,9 +216,14 @@ def frequent_words(
     counts = docs.select(F.col(text).alias("text")).mapInArrow(
         _count_task(tokenizer), "word string, n long"
     )
-    totals = counts.groupBy("word").agg(F.sum("n").alias("n"))
-    top = totals.orderBy(F.col("n").desc(), "word").limit(most).select("word")
-    return top.mapInArrow(_frequent_task(tokenizer), "hash long, ids binary")
+    totals = store_table(counts.groupBy("word").agg(F.sum("n").alias("n")), "word_counts")
+    # One row per count that occurs: few, since their sum is the number of words.
+    alike = totals.groupBy("n").agg(F.count(F.lit(1)).alias("words"))
+    upto = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0)
+    fitting = alike.withColumn("upto", F.sum("words").over(upto)).where(F.col("upto") <= most)
+    least = fitting.agg(F.min("n")).first()[0]
+    top = totals.where(F.col("n") >= F.lit(least) if least else F.lit(False))
+    return top.mapInArrow(_frequent_task(tokenizer), "hash long, ids binary, n long")
 
 
 def encode_documents(
@@ -249,7 +259,10 @@ def encode_documents(
     rare = rows.select("name", "mark", "text").mapInArrow(
         _rare_task(tokenizer, known), f"name {kind}, mark int, slot int, word string"
     )
-    together = rare.repartition("word").sortWithinPartitions("word")
+    # A long word is never frequent, however often it stands; its places are dealt to all tasks.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salt = F.when(F.octet_length("word") > LONGEST_FREQUENT, F.pmod(F.xxhash64("name"), F.lit(parts))).otherwise(0)
+    together = rare.repartition("word", salt).sortWithinPartitions("word")
     encoded = together.mapInArrow(
         _word_task(tokenizer), f"name {kind}, mark int, slot_ids binary"
     )
@@ -313,7 +326,7 @@ def _frequent_task(tokenizer: Tokenizer):
             words = batch.column(0).to_pylist()
             ids = [np.array(e, "<u4").tobytes() for e in tokenizer.encode_words(words)]
             hashes = _hash_words(words).view(np.int64) if words else np.empty(0, np.int64)
-            yield pa.record_batch({"hash": pa.array(hashes), "ids": pa.array(ids, pa.binary())})
+            yield pa.record_batch({"hash": pa.array(hashes), "ids": pa.array(ids, pa.binary()), "n": batch.column(1)})
 
     return task
 
