@@ -57,8 +57,7 @@ def op2_substring_dedup(spark, sf_dir):
 
 
 def op3_winnow_lines(spark, sf_dir):
-    # The SQL of this query knows runs of two lines only.
-    kept = lines.remove_repeated_lines(table(spark, sf_dir, "documents"), long_line=None)
+    kept = lines.remove_repeated_lines(table(spark, sf_dir, "documents"))
     return kept.select(
         "_row.doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
     )
@@ -175,9 +174,13 @@ ORACLES: dict[str, str] = {
             SELECT doc_id, i, after_i,
                    row_number() OVER (PARTITION BY line, after ORDER BY doc_id, i) > 1 AS later
             FROM solid WHERE after IS NOT NULL),
+        single AS (
+            SELECT doc_id, i, row_number() OVER (PARTITION BY line ORDER BY doc_id, i) > 1 AS later
+            FROM solid WHERE len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) >= 50),
         gone AS (
             SELECT doc_id, i FROM judged WHERE later
-            UNION SELECT doc_id, after_i FROM judged WHERE later)
+            UNION SELECT doc_id, after_i FROM judged WHERE later
+            UNION SELECT doc_id, i FROM single WHERE later)
         SELECT documents.doc_id, count(placed.i) AS n_lines, count(gone.i) AS n_removed,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY placed.i)
                                FILTER (gone.i IS NULL), '')) AS kept_sha256
