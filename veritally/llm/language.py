@@ -205,7 +205,9 @@ def labelled_sample(
     first = counts.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0)))
     last = first.where(F.col("before") < per_language).groupBy("label").agg(F.max("bucket").alias("last"))
     turn = F.row_number().over(Window.partitionBy("label").orderBy("draw", "key"))
-    near = drawn.join(last, "label").where(F.col("bucket") <= F.col("last")).withColumn("turn", turn)
+    # One row per language, each of which is an output of the network anyway. What lies beyond the
+    # last bucket is left out where it is read, so that few rows of a language meet to be ranked.
+    near = drawn.join(F.broadcast(last), "label").where(F.col("bucket") <= F.col("last")).withColumn("turn", turn)
     picked = store_table(near.where(F.col("turn") <= per_language).select("key", "label").distinct(), "language_sample")
     # As many rows as languages times the sample of one, all of which the driver holds anyway.
     rows = fit.join(F.broadcast(picked), ["key", "label"])
