@@ -350,6 +350,17 @@ def test_wrapped_notices_are_found(spark, license_model):
     assert len(got) == len({(r.doc_id, r.paragraph, r.family) for r in got})
 
 
+def test_every_plain_line_counts(spark):
+    """Lines after the first, and of more texts than a draw would hold, settle what may be named."""
+    near = "you may not use this file except in compliance with the"
+    texts = [f"{spell(i % 500, 'abcdefghi', 9)}\n\n{near}" for i in range(1500)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = licenses.train_licenses(df)
+    lines = spark.createDataFrame([(licenses.re.findall(licenses._WORD, near),)], "words array<string>")
+    chances = model.stages.transform(lines).first()["probability"].toArray()[1:]
+    assert chances.max() < model.threshold
+
+
 def test_scan_equals_brute_force(spark, license_model):
     """The score of every paragraph from the coefficients, without Spark."""
     vocabulary = {t: i for i, t in enumerate(license_model.stages.stages[2].vocabulary)}

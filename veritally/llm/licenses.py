@@ -17,9 +17,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from veritally.session import store_table
+
 UNKNOWN = "unknown"
-VOCABULARY = 4096
-SAMPLE_PARAGRAPHS = 1000
+PLAIN_WEIGHT = 1000
+CALIBRATION_STEPS = 10_000
 LEAST_RESEMBLANCE = 0.6
 FALSE_ALARMS = 0.01
 
@@ -119,12 +121,14 @@ class LicenseModel:
     threshold: float
 
 
-def train_licenses(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> LicenseModel:
+def train_licenses(docs: DataFrame, *, text: str = "text") -> LicenseModel:
     """Fit on templates, wordings with a word left out, and paragraphs that are none.
 
-    The last are ``UNRELATED`` and at most ``SAMPLE_PARAGRAPHS`` paragraphs without a cue, one
-    from a document, picked by a hash of the key. The probability from which a
-    family is named is calibrated so that at most ``FALSE_ALARMS`` of them would be named.
+    The last are ``UNRELATED`` and every line with a word of all texts without a cue. Features are the words and
+    word pairs of the wordings; lines that hold the same ones are one row with a weight. All lines of
+    texts weigh one each, and together ``PLAIN_WEIGHT`` at most, so that the wordings count in a
+    corpus of any size. The probability from which a family is named is calibrated on all of
+    these lines: at most ``FALSE_ALARMS`` of them would be named.
     """
     spark = docs.sparkSession
     families = [UNKNOWN, *sorted(TEMPLATES)]
@@ -135,30 +139,36 @@ def train_licenses(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     )
     whole = F.explode(F.array_repeat("paragraph", 8)).alias("paragraph")
     positive = wordings.select("label", whole).unionByName(shorter)
-    first_line = F.substring_index(F.substring(text, 1, 4096), "\n", 1)
-    plain = docs.where(F.col(text).isNotNull() & ~_has_cue(F.col(text)))
-    drawn = plain.select(F.xxhash64(F.lit("plain"), F.col(key)).alias("draw"), first_line.alias("paragraph"))
-    picked = drawn.orderBy("draw", "paragraph").limit(SAMPLE_PARAGRAPHS)
-    other = [(0, t) for t in UNRELATED for _ in range(8)]
-    negative = _table(spark, other).unionByName(
-        picked.select(F.lit(0.0).alias("label"), "paragraph")
-    )
-    rows = positive.unionByName(negative).withColumn("words", _words("paragraph")).coalesce(1)
+    other = _table(spark, [(0, t) for t in UNRELATED for _ in range(8)])
+    known = positive.unionByName(other).withColumn("words", _words("paragraph")).coalesce(1)
     join = "SELECT *, concat(words, pairs) AS terms FROM __THIS__"
-    stages = Pipeline(
+    terms = Pipeline(
         stages=[
             NGram(n=2, inputCol="words", outputCol="pairs"),
             SQLTransformer(statement=join),
-            CountVectorizer(inputCol="terms", outputCol="features", vocabSize=VOCABULARY, binary=True),
-            LogisticRegression(
-                family="multinomial", regParam=0.001, elasticNetParam=0.5, maxIter=40, tol=1e-5
-            ),
+            CountVectorizer(inputCol="terms", outputCol="features", binary=True),
         ]
-    ).fit(rows)
+    ).fit(known)
+    plain = docs.where(F.col(text).isNotNull() & ~_has_cue(F.col(text)))
+    lines = plain.select(F.explode(F.split(text, "\n", -1)).alias("paragraph")).select(_words("paragraph").alias("words"))
+    alike = terms.transform(lines.where(F.size("words") > 0)).groupBy("features").agg(F.count(F.lit(1)).alias("n"))
+    drawn = store_table(alike, "plain_lines")
+    total = drawn.agg(F.sum("n")).first()[0] or 0
+    share = min(1.0, PLAIN_WEIGHT / total) if total else 1.0
+    made = terms.transform(known).select("label", "features", F.lit(1).cast("long").alias("n"), F.lit(1.0).alias("weight"))
+    rows = made.unionByName(
+        drawn.select(F.lit(0.0).alias("label"), "features", "n", (F.col("n") * share).alias("weight"))
+    )
+    learner = LogisticRegression(
+        family="multinomial", regParam=0.001, elasticNetParam=0.5, maxIter=40, tol=1e-5, weightCol="weight"
+    )
+    fitted = learner.fit(rows)
     best = F.array_max(F.slice(vector_to_array("probability"), 2, len(families) - 1))
-    wrong = stages.transform(rows.where("label = 0")).select(best.alias("p"))
-    quantile = wrong.agg(F.percentile("p", F.lit(1 - FALSE_ALARMS)).alias("q")).first()["q"]
-    return LicenseModel(stages, families, max(0.5, quantile or 0.0))
+    # Rounded up, so that the values to rank are at most so many, however many lines there are.
+    steps = F.ceil(best * CALIBRATION_STEPS) / CALIBRATION_STEPS
+    wrong = fitted.transform(rows.where("label = 0")).select(steps.alias("p"), "n")
+    quantile = wrong.agg(F.percentile("p", F.lit(1 - FALSE_ALARMS), F.col("n")).alias("q")).first()["q"]
+    return LicenseModel(PipelineModel(stages=[*terms.stages, fitted]), families, max(0.5, quantile or 0.0))
 
 
 def scan_licenses(
