@@ -4,16 +4,21 @@ from __future__ import annotations
 
 import csv as python_csv
 import random
+from pathlib import Path
 
 import pytest
+from compare import connect, difference
 from conftest import rows
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
+from veritally import catalog
+from veritally.oracle import ORACLES
 from veritally.sinks.reports import write_csv
 from veritally.sources import csv, csv_ranges
 from veritally.sources.csv import read_by_name
 
+SF_DIR = "/root/testdata/sf0.001"
 WANTED = StructType([StructField("doc_id", LongType()), StructField("text", StringType()), StructField("n", IntegerType())])
 
 
@@ -123,3 +128,16 @@ def test_default_reads_small_files_whole(spark, tmp_path):
     assert csv.WHOLE_FILE_BYTES > (tmp_path / "a.csv").stat().st_size
     plan = read_by_name(spark, str(tmp_path), WANTED, "file")._jdf.queryExecution().toString()
     assert "MapInArrow" not in plan
+
+
+@pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables here")
+def test_a_large_corpus_is_written_by_many_tasks(spark, monkeypatch, tmp_path):
+    parts = tmp_path / "documents.parquet"
+    spark.read.parquet(f"{SF_DIR}/documents.parquet").repartition(4).write.parquet(str(parts))
+    spark.read.parquet(f"{SF_DIR}/labels.parquet").write.parquet(str(tmp_path / "labels.parquet"))
+    stored = sum(f.stat().st_size for f in parts.glob("*.parquet"))
+    monkeypatch.setattr(catalog, "CSV_FILE_BYTES", stored // 4 + 1, raising=False)
+    monkeypatch.setattr(catalog, "scratch_path", lambda spark, name: str(tmp_path / name))
+    found = catalog.q_corpus_csv_ranges(spark, str(tmp_path))
+    assert len(list((tmp_path / "corpus_csv_ranges").glob("part-*"))) == 4
+    assert difference(found, connect(SF_DIR), ORACLES["corpus_csv_ranges"]) is None
