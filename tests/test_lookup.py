@@ -92,3 +92,31 @@ def test_ids_by_hand(corpus):
     count = Counter(w for _, t, _ in texts()[:120] for w in (t or "").split())
     got = [(r["token"], r["n"]) for r in rows(build_vocabulary(corpus.where("doc_id < 120 AND labels >= 0"), 3))]
     assert got[0][0] == "the" and count["the"] <= got[0][1] <= count["the"] + 1
+
+
+def test_a_large_vocabulary_is_read_once_and_cut_before_it_is_grouped(spark, corpus):
+    """Only entries that the rows hold are grouped, and none is needed to know that there are too many."""
+    read = spark.sparkContext.accumulator(0)
+    wide = spark.range(0, 20_000, 1, 4).select(F.concat(F.lit("w"), "id").alias("token"), "id")
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    counted = wide.mapInArrow(count, wide.schema)
+    got = encode_fixed_length(corpus, counted, 9, largest_constant=50)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan
+    before = encoded(corpus, wide, 9)
+    read.value = 0
+    assert sorted(map(str, rows(got))) == before
+    assert read.value == 20_000
+
+
+def test_repeats_beyond_the_first_rows(spark, corpus):
+    """A table with more rows than the constant holds but fewer tokens stays a constant."""
+    few = spark.range(300).select(F.lit("the").alias("token"), (F.col("id") + 4).cast("int").alias("id"))
+    found = encode_fixed_length(corpus, few, 6, largest_constant=5)
+    assert "_row" not in found._jdf.queryExecution().toString()
+    assert sorted(map(str, rows(found))) == encoded(corpus, few, 6, largest_constant=0)

@@ -75,10 +75,34 @@ def with_token_counts(df: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumn("n_tokens", token_count(F.col(text)))
 
 
+def _named(vocabulary: DataFrame) -> DataFrame:
+    return vocabulary.where("token IS NOT NULL").select("token", F.col("id").cast("int").alias("id"))
+
+
 def _known(vocabulary: DataFrame) -> DataFrame:
     """One id per token, the smallest where a table has several; no null tokens."""
-    named = vocabulary.where("token IS NOT NULL").select("token", F.col("id").cast("int").alias("id"))
-    return named.groupBy("token").agg(F.min("id").alias("id"))
+    return _named(vocabulary).groupBy("token").agg(F.min("id").alias("id"))
+
+
+def _small_vocabulary(vocabulary: DataFrame, largest: int) -> list[tuple[str, int]] | None:
+    """All entries, or None if there are more than ``largest``.
+
+    As many rows of the table are looked at first: if they hold more tokens, the rest of a
+    large vocabulary need not be grouped to know it.
+    """
+    first = _named(vocabulary).limit(largest + 1).collect()
+    if len({r["token"] for r in first}) > largest:
+        return None
+    entries = _known(vocabulary).limit(largest + 1).collect() if len(first) > largest else _smallest(first)
+    return [(token, i) for token, i in entries] if len(entries) <= largest else None
+
+
+def _smallest(rows: list[tuple[str, int]]) -> list[tuple[str, int]]:
+    found: dict[str, int] = {}
+    for token, i in rows:
+        ids = [j for j in (found.get(token), i) if j is not None]
+        found[token] = min(ids, default=None)
+    return list(found.items())
 
 
 def _lookup_table(entries: list[tuple[str, int]]) -> tuple[Column, int]:
@@ -114,7 +138,8 @@ def lookup_ids(rows: DataFrame, vocabulary: DataFrame, hot_tokens: int = HOT_TOK
 
     Tokens leave their rows with a row number and a position, meet the vocabulary by a shuffle and
     return by row number; other columns stay where they are. The vocabulary may have any size:
-    nothing of it is collected or broadcast.
+    nothing of it is collected or broadcast. It is read once, and only what the rows hold of it is
+    grouped and sorted: the distinct tokens of the rows are stored, and Spark joins by their size.
 
     A token that makes up one in ``hot_tokens`` of all places or more is hot. There are at most that
     many, so they are broadcast; each is salted in proportion to its share, and its entry
@@ -124,7 +149,7 @@ def lookup_ids(rows: DataFrame, vocabulary: DataFrame, hot_tokens: int = HOT_TOK
     numbered = store_table(rows.withColumn("_row", F.monotonically_increasing_id()), "token_rows")
     places = numbered.select("_row", F.posexplode("_tokens").alias("_place", "token"))
     total = numbered.agg(F.sum(F.size("_tokens"))).first()[0] or 0
-    counts = places.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    counts = store_table(places.groupBy("token").agg(F.count(F.lit(1)).alias("n")), "token_counts")
     share = F.col("n") * hot_tokens
     hot = counts.where(share >= F.lit(total)).select(
         "token", F.ceil(share / F.lit(max(total, 1))).cast("int").alias("_salts")
@@ -134,7 +159,8 @@ def lookup_ids(rows: DataFrame, vocabulary: DataFrame, hot_tokens: int = HOT_TOK
     salted = places.join(F.broadcast(hot), "token", "left").select(
         "_row", "_place", "token", F.pmod(F.xxhash64("_row"), salts).cast("int").alias("_salt")
     )
-    entries = _known(vocabulary).join(F.broadcast(hot), "token", "left").select(
+    held = _known(vocabulary.join(counts.select("token"), "token", "left_semi"))
+    entries = held.join(F.broadcast(hot), "token", "left").select(
         "token", "id", F.explode(F.sequence(F.lit(0), salts - 1)).alias("_salt")
     )
     found = salted.join(entries.hint("merge"), ["token", "_salt"], "left")
@@ -172,12 +198,8 @@ def encode_fixed_length(
         0,
     )
     rows = df.select(*keep, F.slice(tokens(head), 1, max_length - 2).alias("_tokens"))
-    known = _known(vocabulary)
-    entries = known.limit(largest_constant + 1).collect()
-    if len(entries) <= largest_constant:
-        found = _ids_from_table(rows, [(r["token"], r["id"]) for r in entries])
-    else:
-        found = lookup_ids(rows, known)
+    entries = _small_vocabulary(vocabulary, largest_constant)
+    found = lookup_ids(rows, vocabulary) if entries is None else _ids_from_table(rows, entries)
     used = F.size("_ids") + 2
     spare = F.lit(max_length) - used
     return (
