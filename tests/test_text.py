@@ -56,6 +56,13 @@ def test_normalize_equals_python_on_every_code_point(spark):
     assert apply(spark, T.normalize_text, texts) == [python_normalize(t) for t in texts]
 
 
+def test_whitespace_is_replaced_without_a_lookup_for_each_character(spark):
+    df = spark.createDataFrame([("a",)], "t string").select(T.collapse_whitespace(F.col("t")))
+    assert "translate(" not in df._jdf.queryExecution().toString()
+    values = [f"{chr(a)}x{chr(b)}{chr(a)}y{chr(b)} " for a in (0x20, 0x0A, 0x85, 0x3000) for b in CODE_POINTS[:0x3100]]
+    assert apply(spark, T.collapse_whitespace, values) == [" ".join(v.split()) for v in values]
+
+
 def test_null_text_stays_null(spark):
     assert apply(spark, T.normalize_text, [None, "a"]) == [None, "a"]
 
@@ -104,3 +111,13 @@ def test_tokens(spark):
         [],
     ]
     assert apply(spark, T.token_count, ["Don't STOP, ok_1!", ""]) == [9, 2]
+
+
+def test_tokens_equal_possessive_ones_on_every_code_point(spark):
+    possessive = T.TOKEN.replace("]+|", "]++|")
+    assert "++" not in T.TOKEN and possessive != T.TOKEN
+    values = [f"a{chr(c)}b{chr(c)}{chr(c)} 1{chr(c)}_" for c in CODE_POINTS]
+    texts = [" ".join(values[i : i + 500]) for i in range(0, len(values), 500)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    again = F.regexp_extract_all(F.lower("t"), F.lit(possessive), F.lit(0))
+    assert df.where(T.tokens(F.col("t")) != again).count() == 0
